@@ -1,8 +1,8 @@
 """The registered queries in SQL, written against the given tables only.
 
 ``FRAGMENTS`` holds common table expressions; a query gets those it refers to,
-directly or through others. Rates are rounded as decimals, half up: rounding the
-binary double would turn 16.525 into 16.52.
+directly or through others. Rates are rounded half up from the decimal text of
+the double, as Spark does; rounding its binary value would turn 16.525 into 16.52.
 """
 
 from __future__ import annotations
@@ -312,17 +312,17 @@ ORACLES = {
         FROM dim_media ORDER BY media_id""",
     "daily_engagement_report": """
         SELECT f.stat_date, f.media_id, m.title, f.load_count, f.play_count,
-               CAST(round(CAST(f.play_rate * 100 AS DECIMAL(28, 12)), 2) AS DOUBLE) AS play_rate_pct,
-               CAST(round(CAST(f.total_watch_time_hours AS DECIMAL(28, 12)), 3) AS DOUBLE) AS total_watch_time_hours,
+               CAST(round(CAST(CAST(f.play_rate * 100 AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS play_rate_pct,
+               CAST(round(CAST(CAST(f.total_watch_time_hours AS VARCHAR) AS DECIMAL(38, 18)), 3) AS DOUBLE) AS total_watch_time_hours,
                f.event_count, f.unique_visitors,
-               CAST(round(CAST(f.watched_percent AS DECIMAL(28, 12)), 2) AS DOUBLE) AS avg_watched_percent
+               CAST(round(CAST(CAST(f.watched_percent AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS avg_watched_percent
         FROM fact_media_engagement f LEFT JOIN dim_media m ON f.media_id = m.media_id
         ORDER BY f.stat_date, m.title, f.media_id""",
     "engagement_by_country": """
         SELECT coalesce(country, 'UNKNOWN') AS country, count(*) AS event_count,
                count(DISTINCT visitor_key) AS unique_visitors,
-               CAST(round(CAST(CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) / count(percent_viewed)
-                 AS DECIMAL(28, 12)), 2) AS DOUBLE) AS avg_percent_viewed
+               CAST(round(CAST(CAST(CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) / count(percent_viewed)
+                 AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS avg_percent_viewed
         FROM fact_engagement_event GROUP BY 1 ORDER BY event_count DESC, country""",
     "orphan_media_rows": """
         SELECT count(*) AS orphan_media_rows
