@@ -43,8 +43,8 @@ def iso_date(text: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    """yyyyMMdd as an integer."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    """yyyyMMdd as an integer, by arithmetic instead of formatting and parsing text."""
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def days_before(day: Column, span: Column) -> Column:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import asset_count, iso_date, iso_timestamp
-from reelmart.operators.dedup import latest_by, snapshot_per
-from reelmart.sources.landing import SOURCE, read_landed, rows_of_runs
+from reelmart.operators.dedup import latest_by
+from reelmart.sources.landing import CORRUPT, SOURCE, read_landed, rows_of_runs
 
 
 def _agent_columns() -> list:
@@ -26,9 +26,22 @@ def _agent_columns() -> list:
     ]
 
 
+def _newest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Survivors among the landed rows, before any wide projection: flattening, text
+    parsing and JSON building then run for survivors only. Ties fall to run and file,
+    which settle all other lineage, then to the payload."""
+    lineage = ("run_id", SOURCE, "ingested_at", "ingestion_date", "media_id_from_path")
+    payload = [c for c in rows.columns if c not in (*keys, *lineage)]
+    return latest_by(rows, keys, order, ["run_id", SOURCE, *payload])
+
+
 def silver_media(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """The most recently updated version of every media."""
-    versions = rows_of_runs(landed, runs).select(
+    versions = rows_of_runs(landed.drop(CORRUPT, "protected", "section"), runs).withColumn(
+        "updated_at", iso_timestamp(F.col("updated"))
+    )
+    order = [F.desc_nulls_last("updated_at"), F.desc_nulls_last("ingested_at")]
+    return _newest(versions, ["media_id_from_path"], order).select(
         F.col("media_id_from_path").alias("media_id"),
         F.col("id").alias("numeric_id"),
         "hashed_id",
@@ -40,7 +53,7 @@ def silver_media(landed: DataFrame, runs: DataFrame) -> DataFrame:
         "archived",
         "progress",
         iso_timestamp(F.col("created")).alias("created_at"),
-        iso_timestamp(F.col("updated")).alias("updated_at"),
+        "updated_at",
         F.col("folder.id").alias("folder_id"),
         F.col("folder.hashed_id").alias("folder_hashed_id"),
         F.col("folder.name").alias("folder_name"),
@@ -52,15 +65,13 @@ def silver_media(landed: DataFrame, runs: DataFrame) -> DataFrame:
         "ingestion_date",
         "run_id",
         "ingested_at",
-        SOURCE,
     )
-    newest = [F.desc_nulls_last("updated_at"), F.desc_nulls_last("ingested_at")]
-    return latest_by(versions, ["media_id"], newest).drop(SOURCE)
 
 
 def silver_media_stats(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """One cumulative snapshot per media and run."""
-    snapshots = rows_of_runs(landed, runs).select(
+    rows = rows_of_runs(landed.drop(CORRUPT), runs)
+    return _newest(rows, ["media_id_from_path", "run_id"], []).select(
         F.col("media_id_from_path").alias("media_id"),
         "engagement",
         "hours_watched",
@@ -71,36 +82,30 @@ def silver_media_stats(landed: DataFrame, runs: DataFrame) -> DataFrame:
         F.col("ingested_at").alias("snapshot_at"),
         "ingestion_date",
         "run_id",
-        SOURCE,
     )
-    return snapshot_per(
-        snapshots,
-        ["media_id", "run_id"],
-        [SOURCE, "engagement", "hours_watched", "load_count", "play_count", "play_rate", "visitors"],
-    ).drop(SOURCE)
 
 
 def silver_media_daily_stats(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """The value of every media and date seen last; overlaps collapse."""
-    observed = rows_of_runs(landed, runs).select(
+    rows = rows_of_runs(landed.drop(CORRUPT), runs).withColumn("stat_date", iso_date(F.col("date")))
+    latest = _newest(rows, ["media_id_from_path", "stat_date"], [F.desc_nulls_last("ingested_at")])
+    return latest.select(
         F.col("media_id_from_path").alias("media_id"),
-        iso_date(F.col("date")).alias("stat_date"),
+        "stat_date",
         "hours_watched",
         "load_count",
         "play_count",
         "ingested_at",
         "run_id",
-        SOURCE,
-    )
-    latest = latest_by(observed, ["media_id", "stat_date"], [F.desc_nulls_last("ingested_at")])
-    return latest.drop(SOURCE).withColumns(
-        {"stat_year": F.year("stat_date"), "stat_month": F.month("stat_date")}
+        F.year("stat_date").alias("stat_year"),
+        F.month("stat_date").alias("stat_month"),
     )
 
 
 def silver_engagement(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """One engagement curve per media and run, the arrays kept whole."""
-    curves = rows_of_runs(landed, runs).select(
+    rows = rows_of_runs(landed.drop(CORRUPT), runs)
+    return _newest(rows, ["media_id_from_path", "run_id"], []).select(
         F.col("media_id_from_path").alias("media_id"),
         "engagement",
         "engagement_data",
@@ -108,20 +113,27 @@ def silver_engagement(landed: DataFrame, runs: DataFrame) -> DataFrame:
         F.col("ingested_at").alias("snapshot_at"),
         "ingestion_date",
         "run_id",
-        SOURCE,
     )
-    return snapshot_per(
-        curves, ["media_id", "run_id"], [SOURCE, "engagement", "engagement_data", "rewatch_data"]
-    ).drop(SOURCE)
 
 
-def event_rows(landed: DataFrame, runs: DataFrame) -> DataFrame:
-    """Events of successful runs, flattened, before deduplication."""
-    return rows_of_runs(landed, runs).select(
+def run_events(landed: DataFrame, runs: DataFrame) -> DataFrame:
+    """D1 for events: landed rows of successful runs, without the fields silver leaves out."""
+    return rows_of_runs(landed.drop(CORRUPT, "iframe_heatmap_url"), runs)
+
+
+def current_events(rows: DataFrame) -> DataFrame:
+    """The latest landed row of every event."""
+    return _newest(rows, ["event_key"], [F.desc_nulls_last("ingested_at")])
+
+
+def flat_events(rows: DataFrame) -> DataFrame:
+    """Landed events flattened; the path names the media where the payload does not."""
+    received_at = iso_timestamp(F.col("received_at"))
+    return rows.select(
         "event_key",
         F.coalesce("media_id", "media_id_from_path").alias("media_id"),
         "visitor_key",
-        iso_timestamp(F.col("received_at")).alias("received_at"),
+        received_at.alias("received_at"),
         "percent_viewed",
         "country",
         "region",
@@ -138,28 +150,26 @@ def event_rows(landed: DataFrame, runs: DataFrame) -> DataFrame:
         *_agent_columns(),
         "ingested_at",
         "run_id",
-        SOURCE,
+        F.to_date(received_at).alias("event_date"),
     )
 
 
-def current_events(rows: DataFrame) -> DataFrame:
-    """The latest row of every event, with its date."""
-    latest = latest_by(rows, ["event_key"], [F.desc_nulls_last("ingested_at")])
-    return latest.drop(SOURCE).withColumn("event_date", F.to_date("received_at"))
-
-
 def silver_events(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """C6, F1c."""
-    return current_events(event_rows(landed, runs))
+    return flat_events(current_events(run_events(landed, runs)))
 
 
 def silver_visitors(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """C7, F1d: the most recently active version of every visitor."""
     identity = F.col("visitor_identity")
-    profiles = rows_of_runs(landed, runs, media_in_path=False).select(
+    profiles = rows_of_runs(landed.drop(CORRUPT), runs, media_in_path=False).withColumn(
+        "last_active_at", iso_timestamp(F.col("last_active_at"))
+    )
+    order = [F.desc_nulls_last("last_active_at"), F.desc_nulls_last("ingested_at")]
+    return _newest(profiles, ["visitor_key"], order).select(
         "visitor_key",
         iso_timestamp(F.col("created_at")).alias("created_at"),
-        iso_timestamp(F.col("last_active_at")).alias("last_active_at"),
+        "last_active_at",
         "last_event_key",
         "load_count",
         "play_count",
@@ -170,10 +180,7 @@ def silver_visitors(landed: DataFrame, runs: DataFrame) -> DataFrame:
         *_agent_columns(),
         "ingested_at",
         "run_id",
-        SOURCE,
     )
-    newest = [F.desc_nulls_last("last_active_at"), F.desc_nulls_last("ingested_at")]
-    return latest_by(profiles, ["visitor_key"], newest).drop(SOURCE)
 
 
 SILVER_PLANS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {

@@ -89,7 +89,8 @@ def lineage(landed: DataFrame, media_in_path: bool = True) -> DataFrame:
     source = F.col(SOURCE)
     columns = {
         "ingestion_date": iso_date(F.regexp_extract(source, DATE_IN_PATH, 1)),
-        "run_id": F.regexp_extract(source, RUN_IN_PATH, 1),
+        # never NULL, and known to be: a join on it then adds no second evaluation as null check
+        "run_id": F.coalesce(F.regexp_extract(source, RUN_IN_PATH, 1), F.lit("")),
     }
     if media_in_path:
         columns["media_id_from_path"] = F.regexp_extract(source, MEDIA_IN_PATH, 1)

@@ -111,11 +111,7 @@ FRAGMENTS = {
     "silver_media": """
         SELECT * EXCLUDE (run_date, file, place), run_date AS ingestion_date FROM (
           SELECT v.*, runs.run_id, runs.ingested_at,
-                 row_number() OVER (PARTITION BY media_id ORDER BY updated_at DESC NULLS LAST, ingested_at DESC,
-                   numeric_id DESC, hashed_id DESC, title DESC, description DESC, duration_seconds DESC,
-                   media_type DESC, status DESC, archived DESC, progress DESC, created_at DESC, folder_id DESC,
-                   folder_hashed_id DESC, folder_name DESC, thumbnail_url DESC, asset_count DESC,
-                   assets_json DESC NULLS LAST, file DESC) AS place
+                 row_number() OVER (PARTITION BY media_id ORDER BY updated_at DESC NULLS LAST, ingested_at DESC, file DESC) AS place
           FROM media_versions v JOIN runs ON v.run_date = runs.run_date) WHERE place = 1""",
     "silver_visitors": """
         SELECT * EXCLUDE place FROM (

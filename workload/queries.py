@@ -105,8 +105,8 @@ def land_engagement(spark: SparkSession, sf_dir: str) -> str:
 
 def bronze_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = land_engagement(spark, sf_dir)
-    rows = silver.event_rows(read_landed(spark, base, "events"), testbed.runs(spark, sf_dir))
-    return rows.select(
+    rows = silver.run_events(read_landed(spark, base, "events"), testbed.runs(spark, sf_dir))
+    return silver.flat_events(rows).select(
         "event_key", "media_id", "visitor_key", "received_at", "percent_viewed", "browser", "is_mobile", "run_id"
     )
 
@@ -178,8 +178,8 @@ def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overlap_idempotence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing everything a second time changes nothing."""
-    rows = silver.event_rows(testbed.landed_events(spark, sf_dir), testbed.runs(spark, sf_dir))
-    return silver.current_events(rows.unionByName(rows))
+    rows = silver.run_events(testbed.landed_events(spark, sf_dir), testbed.runs(spark, sf_dir))
+    return silver.flat_events(silver.current_events(rows.unionByName(rows)))
 
 
 STREAMED = ["event_key", "media_id", "visitor_key", "received_at", "percent_viewed", "event_date"]
@@ -189,20 +189,18 @@ def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = land_engagement(spark, sf_dir)
     log = scratch_path(spark, "event-log")
     ingest.append_landed(ingest.landed_stream(spark, base, "events"), log, f"{log}-checkpoint").awaitTermination()
-    rows = silver.event_rows(spark.read.parquet(log), testbed.runs(spark, sf_dir))
-    return silver.current_events(rows).select(*STREAMED)
+    return silver.silver_events(spark.read.parquet(log), testbed.runs(spark, sf_dir)).select(*STREAMED)
 
 
 def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = land_engagement(spark, sf_dir)
     work = scratch_path(spark, "event-merge")
     runs = testbed.runs(spark, sf_dir)
-    stream = silver.event_rows(ingest.landed_stream(spark, base, "events"), runs)
+    stream = silver.run_events(ingest.landed_stream(spark, base, "events"), runs)
     ingest.merge_stream(
         stream, f"{work}/table", f"{work}/batches", ["event_key"], [F.desc_nulls_last("ingested_at")], buckets=8
     ).awaitTermination()
-    merged = spark.read.parquet(f"{work}/table")
-    return merged.withColumn("event_date", F.to_date("received_at")).select(*STREAMED)
+    return silver.flat_events(spark.read.parquet(f"{work}/table")).select(*STREAMED)
 
 
 # reports and checks

@@ -27,11 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def iso(ts: Column) -> Column:
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def run_id_of(day: Column) -> Column:
-    return F.concat(F.lit("run-"), F.date_format(day, "yyyyMMdd"))
+    return F.concat(F.lit("run-"), F.replace(day.cast("string"), F.lit("-")))
 
 
 def run_status(day: Column) -> Column:
@@ -160,7 +160,7 @@ def media_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = landed_twice(media_days(spark, sf_dir))
     return rows.select(
-        F.date_format("day", "yyyy-MM-dd").alias("date"),
+        F.col("day").cast("string").alias("date"),
         (F.col("total") / 3600.0).alias("hours_watched"),
         # no clicks: loads unknown; three views: plays unknown
         F.when(F.col("clicks") > 0, F.col("views") + F.col("lag") * F.col("clicks")).alias("load_count"),
@@ -226,8 +226,7 @@ def landed_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         (flag == "R").alias("archived"),
         F.when(flag == "A", F.array(asset)).when(flag == "R", F.slice(F.array(asset), 1, 0)).alias("assets"),
-        F.concat(F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd"),
-                 F.lit("T00:00:00Z")).alias("created"),
+        F.concat(F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")).cast("string"), F.lit("T00:00:00Z")).alias("created"),
         F.col("p_brand").alias("description"),
         (F.col("p_size") * 60.0).alias("duration"),
         F.struct(
@@ -264,8 +263,7 @@ def landed_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("v"), F.col("o_custkey"))
     name = F.concat(F.lit("visitor="), F.substring(F.sha2(key, 256), 1, 24), F.lit(".json"))
     return rows.select(
-        F.concat(F.date_format(F.date_add(F.lit("2023-01-01").cast("date"), F.col("c_nationkey")), "yyyy-MM-dd"),
-                 F.lit("T00:00:00Z")).alias("created_at"),
+        F.concat(F.date_add(F.lit("2023-01-01").cast("date"), F.col("c_nationkey")).cast("string"), F.lit("T00:00:00Z")).alias("created_at"),
         iso(F.col("o_orderdate")).alias("last_active_at"),
         F.concat(F.lit("o"), F.col("o_orderkey")).alias("last_event_key"),
         F.floor("o_totalprice").cast("long").alias("load_count"),
