@@ -40,12 +40,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local master may fall back to a temporary folder: on a cluster other
     executors could not read it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="reelmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelmart-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
