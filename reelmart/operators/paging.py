@@ -47,43 +47,46 @@ def assign_pages(df: DataFrame, key: str, order: list[str], per_page: int = PER_
     return number_within(df, key, order).withColumn("page", page_of(F.col("row_no"), per_page))
 
 
-def page_spine(keys: DataFrame, paged: DataFrame, key: str, per_page: int = PER_PAGE) -> DataFrame:
-    """All pages every key of ``keys`` needs, with their row counts.
+def trailing_pages(keys: DataFrame, rows: DataFrame, key: str, per_page: int = PER_PAGE) -> DataFrame:
+    """The empty last page of every key whose rows fill their pages exactly, or that has none.
 
-    The last page is always short, so n rows make n div per_page + 1 pages, the
-    last one empty when n is a multiple of the page size or zero. Counting needs
-    no second look at the rows: a page is full unless it is the last.
+    The last page is always short, so n rows make n div per_page + 1 pages. At most
+    one page per key, however many rows it has.
     """
-    sizes = paged.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = F.coalesce("_rows", F.lit(0))
-    full = F.floor(total / F.lit(per_page))
-    spine = keys.select(key).distinct().join(sizes, key, "left").select(
-        key,
-        F.explode(F.sequence(F.lit(1).cast("long"), full + 1)).alias("page"),
-        full.alias("_full"),
-        total.alias("_total"),
-    )
-    return spine.select(
-        key,
-        "page",
-        F.when(F.col("page") <= F.col("_full"), F.lit(per_page).cast("long"))
-        .otherwise(F.col("_total") - F.col("_full") * per_page)
-        .alias("records"),
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = F.coalesce("_rows", F.lit(0).cast("long"))
+    return (
+        keys.select(key).distinct().join(sizes, key, "left")
+        .filter(total % per_page == 0)
+        .select(key, (F.floor(total / F.lit(per_page)) + 1).alias("page"))
     )
 
 
+def page_spine(
+    keys: DataFrame, rows: DataFrame, key: str, order: list[str], per_page: int = PER_PAGE
+) -> DataFrame:
+    """All pages of every key with their row counts, empty last pages included."""
+    filled = assign_pages(rows.select(key, *order), key, order, per_page)
+    counted = filled.groupBy(key, "page").agg(F.count(F.lit(1)).alias("records"))
+    empty = trailing_pages(keys, rows, key, per_page).withColumn("records", F.lit(0).cast("long"))
+    return counted.unionByName(empty)
+
+
 def page_payloads(
     keys: DataFrame, rows: DataFrame, key: str, payload: list[str], order: list[str], per_page: int = PER_PAGE
 ) -> DataFrame:
     """One JSON array per page, empty pages included; at most ``per_page`` rows meet."""
     paged = assign_pages(rows, key, order, per_page)
-    spine = page_spine(keys, paged, key, per_page)
     record = F.struct("row_no", F.struct(*payload).alias("record"))
-    bodies = paged.groupBy(key, "page").agg(F.array_sort(F.collect_list(record)).alias("_rows"))
+    filled = paged.groupBy(key, "page").agg(
+        F.count(F.lit(1)).alias("records"), F.array_sort(F.collect_list(record)).alias("_rows")
+    )
     body = F.to_json(F.transform("_rows", lambda r: r["record"]), {"ignoreNullFields": "false"})
-    return spine.join(bodies, [key, "page"], "left").select(
-        key, page_name(F.col("page")).alias("page"), "records", F.coalesce(body, F.lit("[]")).alias("body")
+    bodies = filled.select(key, "page", "records", body.alias("body"))
+    empty = trailing_pages(keys, rows, key, per_page).select(
+        key, "page", F.lit(0).cast("long").alias("records"), F.lit("[]").alias("body")
     )
+    return bodies.unionByName(empty).withColumn("page", page_name(F.col("page")))
 
 
 def page_completeness(

@@ -193,12 +193,12 @@ SILVER_PLANS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def build_silver(
-    spark: SparkSession, base: str, runs: DataFrame, ingestion_dates: list[str] | None = None
-) -> dict[str, DataFrame]:
-    """M1: all six silver tables from a landing area. Visitors may be missing (A9);
-    they then give an empty table instead of leaving an older one in place (T11)."""
-    return {
-        name: plan(read_landed(spark, base, name, ingestion_dates, optional=name == "visitors"), runs)
-        for name, plan in SILVER_PLANS.items()
-    }
+def build_silver(read: Callable[[str], DataFrame], runs: DataFrame) -> dict[str, DataFrame]:
+    """M1: all six silver tables; ``read`` gives the landed rows of a dataset."""
+    return {name: plan(read(name), runs) for name, plan in SILVER_PLANS.items()}
+
+
+def landing_reader(spark: SparkSession, base: str) -> Callable[[str], DataFrame]:
+    """Landed rows straight from the JSON files. Visitors may be missing (A9); they then
+    give an empty table instead of leaving an older one in place (T11)."""
+    return lambda name: read_landed(spark, base, name, optional=name == "visitors")

@@ -104,3 +104,27 @@ def rows_of_runs(landed: DataFrame, runs: DataFrame, media_in_path: bool = True)
     runs is broadcast while a count shows that it is small.
     """
     return lineage(landed, media_in_path).join(small_side(runs), "run_id")
+
+
+def landed_objects(spark: SparkSession, base: str, dataset: str, ingestion_dates: list[str] | None = None) -> DataFrame:
+    """One row per landed file with its run, media, page and number of records.
+
+    The file list comes from a scan that reads no content; files without rows, such
+    as an empty last page, are only known from it.
+    """
+    root = f"{base.rstrip('/')}/{dataset}"
+    paths = [f"{root}/ingestion_date={d}" for d in ingestion_dates] if ingestion_dates else [root]
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+        .select(F.col("path").alias(SOURCE))
+    )
+    counted = (
+        read_landed(spark, base, dataset, ingestion_dates)
+        .groupBy(SOURCE).agg(F.count(F.lit(1)).alias("records"))
+    )
+    found = files.join(counted, SOURCE, "left").withColumns({
+        "records": F.coalesce("records", F.lit(0).cast("long")),
+        "endpoint": F.lit(dataset),
+    })
+    named = lineage(found).withColumnRenamed("media_id_from_path", "media_id")
+    return named.withColumn("page", F.regexp_extract(SOURCE, PAGE_IN_PATH, 1).try_cast("long"))

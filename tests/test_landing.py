@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from reelmart.plans.silver import build_silver, silver_events, silver_media, silver_media_daily_stats
+from reelmart.plans.silver import build_silver, landing_reader, silver_events, silver_media, silver_media_daily_stats
 from reelmart.sources.landing import (
     quarantined, read_audits, read_landed, require_runs, successful_runs,
 )
@@ -88,7 +88,7 @@ def test_missing_visitors_give_an_empty_table_and_other_datasets_fail(spark, tmp
     visitors = read_landed(spark, str(tmp_path), "visitors", optional=True)
     assert visitors.isEmpty() and "visitor_identity" in visitors.columns
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        build_silver(spark, str(tmp_path), runs)
+        build_silver(landing_reader(spark, str(tmp_path)), runs)
 
 
 def test_audits(spark, tmp_path):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from reelmart.operators import paging
 from reelmart.sinks.landing import land_pages, land_visitors
-from reelmart.sources.landing import read_landed
+from reelmart.sources.landing import landed_objects, read_landed
 from tests.conftest import rows
 
 
@@ -38,7 +38,8 @@ def test_hot_media_is_cut_into_slices(spark):
 @pytest.mark.parametrize("size,pages", [(0, [0]), (1, [1]), (2, [2]), (3, [3, 0]), (7, [3, 3, 1]), (6, [3, 3, 0])])
 def test_last_page_is_always_short(spark, size, pages):
     keys = spark.createDataFrame([("m",)], "media_id string")
-    spine = paging.page_spine(keys, media_rows(spark, {"m": size} if size else {"x": 1}), "media_id", 3)
+    spine = paging.page_spine(keys, media_rows(spark, {"m": size} if size else {"x": 1}), "media_id", ["at"], 3)
+    spine = spine.filter("media_id = 'm'")
     assert [r["records"] for r in spine.orderBy("page").collect()] == pages
 
 
@@ -51,6 +52,11 @@ def test_landed_pages_read_back_with_empty_ones(spark, tmp_path):
     ]
     for _ in range(2):  # a repeated landing replaces the run
         land_pages(pages, str(tmp_path), "2026-01-01", "r1")
+    objects = landed_objects(spark, str(tmp_path), "events")
+    assert rows(objects.select("run_id", "media_id", "page", "records")) == [
+        ("r1", "a", 1, 2), ("r1", "a", 2, 2), ("r1", "a", 3, 0), ("r1", "b", 1, 2), ("r1", "b", 2, 1), ("r1", "none", 1, 0)
+    ]
+    assert paging.page_completeness(objects, ["run_id", "media_id"], 2).filter("complete").count() == 3
     files = [p for p in tmp_path.rglob("page=*") if p.is_dir()]
     assert len(files) == 3 + 2 + 1
     assert sorted(r["event_key"] for r in read_landed(spark, str(tmp_path), "events").collect()) == [

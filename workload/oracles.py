@@ -242,6 +242,11 @@ ORACLES = {
                 least(value, 100.0) AS percent_viewed, event_type AS browser, value > 50 AS is_mobile,
                 'run-20240131' AS run_id
               FROM ev JOIN customer ON user_id = c_custkey WHERE event_type IN ('click', 'purchase'))""",
+    "landed_page_files": """
+        SELECT media_id, 'run-20240131' AS run_id, DATE '2024-01-31' AS ingestion_date, page,
+               CASE WHEN page <= total // 100 THEN 100 ELSE total % 100 END AS records
+        FROM (SELECT media_id, total, unnest(range(1, total // 100 + 2)) AS page
+              FROM (SELECT media_id, count(*) AS total FROM engagement_events GROUP BY media_id))""",
     "parquet_roundtrip": "SELECT * FROM fact_media_engagement",
     "partition_prune_read": """
         SELECT event_date, count(*) AS events FROM fact_engagement_event

@@ -17,7 +17,7 @@ from reelmart.session import configure, scratch_path
 from reelmart.sinks import landing as landing_sink
 from reelmart.sinks import tables
 from reelmart.sources import control
-from reelmart.sources.landing import lineage, read_landed, rows_of_runs, successful_runs
+from reelmart.sources.landing import landed_objects, lineage, read_landed, rows_of_runs, successful_runs
 from reelmart.streaming import ingest
 from workload import testbed
 
@@ -111,6 +111,12 @@ def bronze_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed page files, those without rows included."""
+    files = landed_objects(spark, land_engagement(spark, sf_dir), "events")
+    return files.select("media_id", "run_id", "ingestion_date", "page", "records")
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "roundtrip")
     contract = GOLD["fact_media_engagement"]
@@ -254,7 +260,8 @@ def page_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paging.page_spine(media(spark, sf_dir), engagement_events(spark, sf_dir), "media_id", PAGE)
+    rows = engagement_events(spark, sf_dir)
+    return paging.page_spine(media(spark, sf_dir), rows, "media_id", ["ts", "event_id"], PAGE)
 
 
 def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "media_id_list": media_id_list,
     "watermark_state": watermark_state,
     "bronze_events_scan": bronze_events_scan,
+    "landed_page_files": landed_page_files,
     "parquet_roundtrip": parquet_roundtrip,
     "partition_prune_read": partition_prune_read,
     "catalog_partitions": catalog_partitions,
