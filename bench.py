@@ -76,11 +76,12 @@ def main() -> None:
 
     def build_once() -> None:
         """Every table written once with its checks in the same pass."""
-        base, done, dims = scratch_path(spark, "bench-build"), {}, {}
-        for name, df in all_silver().items():
-            done[name], _ = tables.stage(name, df, f"{base}/{name}", SILVER[name])
-        for name, df in gold.build_gold(done).items():
-            dims[name], _ = tables.stage(name, df, f"{base}/{name}", GOLD[name], dims)
+        base = scratch_path(spark, "bench-build")
+        done = {name: df for name, (df, _) in tables.stage_all(all_silver(), base, SILVER).items()}
+        made = gold.build_gold(done)
+        dims = tables.stage_all({n: df for n, df in made.items() if n.startswith("dim_")}, base, GOLD)
+        known = {name: df for name, (df, _) in dims.items()}
+        tables.stage_all({n: df for n, df in made.items() if n not in dims}, base, GOLD, known)
 
     def build_per_check() -> None:
         """The same build with an action of its own for every check, count and write."""

@@ -146,11 +146,9 @@ def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage all silver tables with their checks; the counts come from the writes."""
-    base = scratch_path(spark, "silver")
-    counts = [
-        (name, tables.stage(name, silver_table(name, spark, sf_dir), f"{base}/{name}", SILVER[name])[1]["rows"])
-        for name in SILVER
-    ]
+    frames = {name: silver_table(name, spark, sf_dir) for name in SILVER}
+    staged = tables.stage_all(frames, scratch_path(spark, "silver"), SILVER)
+    counts = [(name, metrics["rows"]) for name, (_, metrics) in staged.items()]
     return spark.createDataFrame(counts, "table_name string, row_count bigint")
 
 
