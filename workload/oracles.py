@@ -247,6 +247,29 @@ ORACLES = {
                CASE WHEN page <= total // 100 THEN 100 ELSE total % 100 END AS records
         FROM (SELECT media_id, total, unnest(range(1, total // 100 + 2)) AS page
               FROM (SELECT media_id, count(*) AS total FROM engagement_events GROUP BY media_id))""",
+    "landing_audit": """
+        SELECT media_id, 'run-20240131' AS run_id, endpoint, count(*) AS pages_fetched,
+               CAST(sum(records) AS BIGINT) AS records_fetched, count(*) AS bronze_object_count, 'SUCCESS' AS status
+        FROM (SELECT media_id, 'events' AS endpoint,
+                     CASE WHEN page <= total // 100 THEN 100 ELSE total % 100 END AS records
+              FROM (SELECT media_id, total, unnest(range(1, total // 100 + 2)) AS page
+                    FROM (SELECT media_id, count(*) AS total FROM engagement_events GROUP BY media_id))
+              UNION ALL SELECT media_id, unnest(['media', 'media_stats', 'engagement']), 1 FROM media
+              UNION ALL SELECT media_id, 'media_daily_stats', count(DISTINCT day) FROM ev GROUP BY media_id)
+        GROUP BY media_id, endpoint""",
+    "end_to_end": """
+        SELECT d.day AS stat_date, d.media_id, p_name AS title, views AS load_count, clicks AS play_count,
+               CASE WHEN views > 0 THEN CAST(round(CAST(CAST(CAST(clicks AS DOUBLE) / views * 100 AS VARCHAR)
+                 AS DECIMAL(38, 18)), 2) AS DOUBLE) ELSE 0.0 END AS play_rate_pct,
+               CAST(round(CAST(CAST(total / 3600.0 AS VARCHAR) AS DECIMAL(38, 18)), 3) AS DOUBLE) AS total_watch_time_hours,
+               coalesce(n, 0) AS event_count, coalesce(visitors, 0) AS unique_visitors,
+               CAST(round(CAST(CAST(watched AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS avg_watched_percent,
+               DATE '2024-01-31' AS last_successful_end_date
+        FROM media_days d
+        LEFT JOIN part ON d.media_id = 'm' || p_partkey
+        LEFT JOIN (SELECT media_id, event_date, count(*) AS n, count(DISTINCT visitor_key) AS visitors,
+                          CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) / count(*) AS watched
+                   FROM stream_events GROUP BY ALL) e ON d.media_id = e.media_id AND d.day = e.event_date""",
     "parquet_roundtrip": "SELECT * FROM fact_media_engagement",
     "partition_prune_read": """
         SELECT event_date, count(*) AS events FROM fact_engagement_event

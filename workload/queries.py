@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from reelmart.functions import json_profile, scalars
 from reelmart.operators import incremental, paging, quality
 from reelmart.operators.dedup import latest_by, latest_event_per_visitor, snapshot_per
-from reelmart.plans import gold, reports, silver
+from reelmart.plans import gold, pipeline, reports, silver
 from reelmart.schemas import GOLD, SILVER
 from reelmart.session import configure, scratch_path
 from reelmart.sinks import landing as landing_sink
 from reelmart.sinks import tables
+from reelmart.sinks.records import utc_now
 from reelmart.sources import control
+from reelmart.sources.control import read_watermark_log
 from reelmart.sources.landing import landed_objects, lineage, read_landed, rows_of_runs, successful_runs
 from reelmart.streaming import ingest
 from workload import testbed
@@ -87,22 +89,59 @@ def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.watermark_rows(records, "body")
 
 
-def land_engagement(spark: SparkSession, sf_dir: str) -> str:
+PAYLOAD = [
+    "city", "conversion_type", "country", "email", "embed_url", "event_key", "ip", "lat", "lon", "media_id",
+    "media_name", "media_url", "org", "percent_viewed", "received_at", "region", "user_agent_details", "visitor_key",
+]
+
+
+def land_engagement(spark: SparkSession, sf_dir: str, base: str | None = None) -> str:
     """Land all engagement events as JSON pages of one run; returns the landing folder."""
-    base = scratch_path(spark, "landing")
+    base = base or scratch_path(spark, "landing")
     rows = testbed.event_payload(spark, sf_dir).withColumn("percent_viewed", F.least("value", F.lit(100.0)))
-    names = [
-        "city", "conversion_type", "country", "email", "embed_url", "event_key", "ip", "lat", "lon", "media_id",
-        "media_name", "media_url", "org", "percent_viewed", "received_at", "region", "user_agent_details", "visitor_key",
-    ]
-    rows = rows.select("path_media", "ts", "event_id", *names)
+    rows = rows.select("path_media", "ts", "event_id", *PAYLOAD)
     pages = paging.page_payloads(
-        rows.select("path_media").distinct(), rows, "path_media", names, ["ts", "event_id"]
+        rows.select("path_media").distinct(), rows, "path_media", PAYLOAD, ["ts", "event_id"]
     ).withColumnRenamed("path_media", "media_id")
     landing_sink.land_pages(pages, base, RUN_DATE, RUN_ID)
     return base
 
 
+def fresh_layout(spark: SparkSession) -> pipeline.Layout:
+    base = scratch_path(spark, "deployment")
+    name = base.rsplit("-", 1)[-1]
+    parts = {p: f"{base}/{p}" for p in ("landing", "audit", "silver", "gold", "control", "logs")}
+    return pipeline.Layout(**parts, silver_db=f"silver_{name}", gold_db=f"gold_{name}")
+
+
+def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingestion run over all events: landed as files, checked, silver, gold, committed, reported."""
+    layout, started = fresh_layout(spark), utc_now()
+    for name, documents in testbed.documents(spark, sf_dir).items():
+        landing_sink.land_documents(documents, layout.landing, name, RUN_DATE, RUN_ID)
+    land_engagement(spark, sf_dir, layout.landing)
+    pipeline.check_pages(spark, layout, paging.PER_PAGE)
+    keys = paging.visitor_discovery(read_landed(spark, layout.landing, "events"))
+    visitors = testbed.visitor_documents(keys, spark, sf_dir)
+    landing_sink.land_visitors(visitors, layout.landing, RUN_DATE, RUN_ID)
+    windows = incremental.date_windows(media(spark, sf_dir), read_watermark_log(spark, layout.control), today())
+    pipeline.record_landing(spark, layout, RUN_ID, RUN_DATE, started, windows)
+    pipeline.run(spark, layout)
+    gold_views = {name: spark.table(f"{layout.gold_db}.{name}") for name in GOLD}
+    committed = read_watermark_log(spark, layout.control)
+    report = reports.daily_engagement(gold_views["fact_media_engagement"], gold_views["dim_media"])
+    return report.join(committed, "media_id", "left")
+
+
+def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Endpoint audit from the landed files themselves."""
+    layout = fresh_layout(spark)
+    for name, documents in testbed.documents(spark, sf_dir).items():
+        landing_sink.land_documents(documents, layout.landing, name, RUN_DATE, RUN_ID)
+    land_engagement(spark, sf_dir, layout.landing)
+    return pipeline.landing_audit(spark, layout)
+
+
 def bronze_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = land_engagement(spark, sf_dir)
     rows = silver.run_events(read_landed(spark, base, "events"), testbed.runs(spark, sf_dir))
@@ -420,6 +459,8 @@ QUERIES: dict[str, Query] = {
     "partition_prune_read": partition_prune_read,
     "catalog_partitions": catalog_partitions,
     "run_audit_counts": run_audit_counts,
+    "landing_audit": landing_audit,
+    "end_to_end": end_to_end,
     "lineage_from_path": lineage_from_path,
     "successful_run_rows": successful_run_rows,
     "silver_media": partial(silver_table, "media"),

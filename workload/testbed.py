@@ -323,3 +323,36 @@ def json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json(F.struct((F.col("value") > 50).alias("late"), F.lit("").alias("visitor_key")), keep))
     )
     return rows.select("event_id", kind.alias("dataset"), body.alias("body"))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """JSON documents as one ingestion run would fetch them, per dataset: (media_id, body)."""
+    media = events(spark, sf_dir).select("media_id", F.col("k").cast("long").alias("k")).distinct()
+    part = table(spark, sf_dir, "part")
+    days = media_days(spark, sf_dir)
+    day = F.struct(
+        F.col("day").cast("string").alias("date"),
+        (F.col("total") / 3600.0).alias("hours_watched"),
+        F.col("views").alias("load_count"),
+        F.col("clicks").alias("play_count"),
+    )
+    total = F.struct(F.sum("views").alias("load_count"), F.sum("clicks").alias("play_count"))
+    curve = F.struct(F.array(F.sum("views"), F.sum("clicks"), F.sum("buys")).alias("engagement_data"))
+    version = F.struct(F.col("k").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("type"))
+    per_media = days.groupBy("media_id")
+    return {
+        "media": media.join(part, F.col("k") == F.col("p_partkey")).select("media_id", F.to_json(version).alias("body")),
+        "media_stats": per_media.agg(F.to_json(total).alias("body")),
+        # one element per date of the window
+        "media_daily_stats": per_media.agg(F.to_json(F.array_sort(F.collect_list(day))).alias("body")),
+        "engagement": per_media.agg(F.to_json(curve).alias("body")),
+    }
+
+
+def visitor_documents(keys: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of every discovered visitor: (visitor_key, body)."""
+    who = people(spark, sf_dir).withColumn("visitor_key", F.concat(F.lit("v"), "c_custkey")).join(keys, "visitor_key")
+    profile = F.struct(
+        "visitor_key", F.struct(F.col("c_name").alias("name")).alias("visitor_identity"), F.lit(1).alias("play_count")
+    )
+    return who.select("visitor_key", F.to_json(profile).alias("body"))
