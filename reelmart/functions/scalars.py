@@ -73,8 +73,14 @@ def ratio_or_zero(part: Column, whole: Column) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of doubles as decimals, so that no order of addition changes a bit."""
-    return F.sum(value.cast("decimal(28,8)")).cast("double")
+    """Sum of doubles as decimals, so that no order of addition changes a bit.
+
+    What a decimal cannot hold (NaN, infinities, 1e20 and more) is added as double.
+    """
+    exact = value.try_cast("decimal(28,8)")
+    rest = F.sum(F.when(exact.isNull(), value))
+    total = F.sum(exact).cast("double")
+    return F.when(rest.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + rest)
 
 
 def exact_mean(value: Column) -> Column:

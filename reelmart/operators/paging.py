@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import page_name
-from reelmart.session import cut_lineage
+from reelmart.session import cut_lineage, small_side
 
 # Rows per page and the safety limit of pages.
 PER_PAGE = 100
@@ -31,10 +31,13 @@ def number_within(df: DataFrame, key: str, order: list[str]) -> DataFrame:
         .select("_slice", key, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
     )
     numbered = frozen.withColumn("_place", F.row_number().over(inside))
+    # about one row per slice and key; rows without a key are numbered like any other
+    shift = small_side(shift.select(F.col("_slice").alias("_of"), F.col(key).alias("_key"), "_shift"))
+    same = (F.col("_slice") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key"))
     return (
-        numbered.join(shift, ["_slice", key])
+        numbered.join(shift, same)
         .withColumn("row_no", F.col("_place") + F.col("_shift"))
-        .drop("_slice", "_place", "_shift")
+        .drop("_slice", "_place", "_shift", "_of", "_key")
     )
 
 

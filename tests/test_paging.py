@@ -16,10 +16,10 @@ def media_rows(spark, sizes):
 @pytest.mark.parametrize("coalesce", ["true", "false"])
 def test_numbers_match_brute_force_with_a_hot_media(spark, coalesce):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
-    df = media_rows(spark, {"hot": 3000, **{f"m{i}": i for i in range(80)}}).repartition(5)
+    df = media_rows(spark, {"hot": 3000, None: 50, **{f"m{i}": i for i in range(80)}}).repartition(5)
     numbered = paging.number_within(df, "media_id", ["at"]).collect()
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(numbered) == 3000 + sum(range(80))
+    assert len(numbered) == 3000 + 50 + sum(range(80))
     assert all(r["row_no"] == r["at"] + 1 for r in numbered)
 
 

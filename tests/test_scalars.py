@@ -1,3 +1,4 @@
+import math
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -77,3 +78,12 @@ def test_exact_mean_ignores_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "v double")
     assert df.agg(fn.exact_mean(F.col("v"))).first()[0] == 1.5
     assert df.filter("v is null").agg(fn.exact_mean(F.col("v"))).first()[0] is None
+
+
+def test_exact_mean_of_values_no_decimal_holds(spark):
+    def mean(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return df.agg(fn.exact_mean(F.col("v"))).first()[0]
+
+    assert mean(1e30, 1.0) == (1e30 + 1.0) / 2 and mean(float("inf")) == float("inf")
+    assert math.isnan(mean(1.0, float("nan")))

@@ -179,7 +179,7 @@ def partition_prune_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = written_fact_event(spark, sf_dir)
     database = "reelmart_gold"
-    tables.register(spark, database, {"fact_engagement_event": path}, GOLD)
+    tables.register(spark, database, "fact_engagement_event", path, GOLD["fact_engagement_event"])
     return tables.list_partitions(spark, database, "fact_engagement_event")
 
 
