@@ -1,3 +1,5 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reelmart.operators.dedup import latest_by, latest_event_per_visitor, snapshot_per
@@ -37,3 +39,22 @@ def test_snapshot_is_deterministic(spark):
 def test_latest_event_drops_unknown_visitors(spark):
     df = spark.createDataFrame([("v", 1), ("v", 5), (None, 9)], "visitor_key string, received_at int")
     assert rows(latest_event_per_visitor(df)) == [("v", 5)]
+
+
+facts = st.lists(
+    st.tuples(st.sampled_from(["hot", "a", "b", None]), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 5)),
+    min_size=1, max_size=60,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(facts, st.integers(1, 5))
+def test_latest_by_agrees_with_a_plain_sort(spark, data, partitions):
+    df = spark.createDataFrame(data, "k string, t int, v int").repartition(partitions)
+    want = {}
+    for key, t, v in data:
+        rank = (t is not None, t or 0, v)
+        if key not in want or rank > want[key][0]:
+            want[key] = (rank, (key, t, v))
+    found = rows(latest_by(df, ["k"], [F.desc_nulls_last("t")]))
+    assert found == sorted((row for _, row in want.values()), key=repr)
