@@ -15,7 +15,7 @@ def db(sf_dir):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.registered.queries()))
 def test_query_equals_sql(spark, db, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     cursor = db.execute(entry.oracle_sql()[name])
@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, db, sf_dir, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.registered.queries()) == set(entry.oracles.oracle_sql())
 
 
 def test_entry(spark):
