@@ -22,18 +22,16 @@ def worker_once(key: Any, build: Callable[[], Any]) -> Any:
     build (vocabularies) hangs on a module of the process instead.
     """
     state = sys.modules.setdefault("reelmart_worker_state", types.ModuleType("reelmart_worker_state"))
-    return state.__dict__.setdefault("kept", {}).setdefault(key, None) or _keep(state, key, build)
-
-
-def _keep(state: types.ModuleType, key: Any, build: Callable[[], Any]) -> Any:
-    state.kept[key] = made = build()
-    return made
+    kept = state.__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
 
 
 class BoundedCache(dict):
     """A dict that fills itself by ``make`` and starts over when it holds ``limit`` entries."""
 
-    def __init__(self, make: Callable[[Any], Any], limit: int = 400_000):
+    def __init__(self, make: Callable[[Any], Any], limit: int = 800_000):
         super().__init__()
         self.make, self.limit = make, limit
 

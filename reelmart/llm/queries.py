@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelmart.llm import chat, sharding
+from reelmart.llm import bpe, chat, language, packing, quality, sharding
 from reelmart.llm.common import table
 
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -19,10 +21,43 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(formatted)
 
 
+def op4_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids").cast("long")).drop("ids")
+    return packing.packed(narrow)
+
+
+def op5_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judged_documents(docs, quality.fitted_lines(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encoded_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffled_shards(table(spark, sf_dir, "documents"))
 
 
+def op9_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identified(docs, language.fitted_languages(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_chat_formatting, op8_feistel_sharding]
+    named = [
+        op1_chat_formatting,
+        op4_ffd_packing,
+        op5_crf_quality,
+        op6_backtracking_bpe,
+        op8_feistel_sharding,
+        op9_nearest_centroid_language,
+    ]
     return {f.__name__: f for f in named}
