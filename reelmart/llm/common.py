@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +56,47 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
         same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         condition = same if condition is None else condition & same
     return left.join(other, condition, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by their first ``keys`` integer columns as tables of whole groups, with group borders.
+
+    The last group of a batch waits for the next one, so at most a batch and a group are held.
+    """
+    rest: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        borders = group_borders(rows, keys)
+        last = int(borders[-2]) if len(borders) > 1 else 0
+        if last:
+            yield rows.slice(0, last), borders[:-1]
+        rest = rows.slice(last)
+    if rest is not None and rest.num_rows:
+        yield rest, group_borders(rest, keys)
+
+
+def group_borders(rows: pa.Table, keys: int) -> np.ndarray:
+    """Where groups start, and the number of rows."""
+    n = rows.num_rows
+    change = np.ones(n, bool)
+    if n:
+        change[1:] = False
+        for k in range(keys):
+            values = rows.column(k).combine_chunks().to_numpy(zero_copy_only=False)
+            change[1:] |= values[1:] != values[:-1]
+    return np.append(np.flatnonzero(change), n)
+
+
+def spread_blocks(members: DataFrame, key: str, count: str, member: str, block: int) -> DataFrame:
+    """``members`` of large groups dealt to pairs of blocks, so that every two meet in exactly one tile.
+
+    Adds ``_i``, ``_j`` (tile) and ``_side`` (0 the first block, 1 the second). A group of up
+    to ``block`` members is one tile; tiles hold about two blocks, whatever the group's size.
+    """
+    blocks = F.greatest(F.lit(1), F.ceil(F.col(count) / F.lit(block))).cast("long")
+    own = F.pmod(F.xxhash64(F.lit(77), member), F.col("_blocks"))
+    dealt = members.withColumn("_blocks", blocks).withColumn("_own", own)
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    tile = {"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other"), "_side": F.when(F.col("_own") > F.col("_other"), 1).otherwise(0)}
+    return dealt.withColumns(tile).drop("_blocks", "_own", "_other")

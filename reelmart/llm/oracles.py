@@ -21,5 +21,27 @@ FROM whole
 """
 
 
+EMBEDDINGS = """
+WITH RECURSIVE fit AS (
+    SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+    SELECT a.r AS a, b.r AS b FROM fit a JOIN fit b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+    SELECT r AS a, r AS b FROM fit UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+found AS (
+    SELECT fit.r, fit.vec_id, (SELECT count(*) FROM links WHERE links.a = fit.r) AS n_links,
+        (SELECT min(f.vec_id) FROM reach JOIN fit f ON f.r = reach.b WHERE reach.a = fit.r) AS component_id FROM fit),
+rest AS (
+    SELECT vec_id, 0 AS n_links, vec_id AS component_id FROM embeddings
+    WHERE NOT coalesce(label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0, false))
+SELECT vec_id, n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM (SELECT vec_id, n_links, component_id FROM found UNION ALL SELECT * FROM rest)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT}
+    return {"op1_chat_formatting": CHAT, "op2_pstable_embedding_dedup": EMBEDDINGS}
