@@ -40,30 +40,38 @@ def reply_paths(messages: DataFrame, per_conversation: int = 1) -> DataFrame:
     """
     nodes = messages.select("conv_id", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     known = nodes.select("conv_id", F.col("node").alias("parent"), F.lit(True).alias("known"))
-    first = null_safe(nodes, known, ["conv_id", "parent"], "left")
-    level = cut_lineage(first.select("conv_id", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score"), "replies")
+    first = null_safe(nodes, known, ["conv_id", "parent"], "left").withColumn("up", F.when(F.col("known"), F.col("parent")))
+    level = cut_lineage(first.select("conv_id", "node", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"), "score"), "replies")
     levels: list[DataFrame] = []
+    rooted = [level.filter("up IS NULL").drop("up")]
     open_before = None
     while (still_open := level.filter("up IS NOT NULL").count()) and still_open != open_before:
-        levels.append(level.filter("up IS NOT NULL").select("conv_id", "node", "up"))
-        further = level.select("conv_id", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"))
-        joined = null_safe(level, further, ["conv_id", "up"], "left")
-        total = F.col("score") + F.coalesce("score2", F.lit(0.0))
-        level = cut_lineage(joined.select("conv_id", "node", F.col("up2").alias("up"), total.alias("score")), "replies")
+        # A parent is either done itself (a root so far) or still open; only open nodes are carried on.
+        reaching = level.filter("up IS NOT NULL")
+        levels.append(reaching.select("conv_id", "node", "up"))
+        done = rooted[0] if len(rooted) == 1 else rooted[0].unionByName(rooted[1])
+        sides = reaching.unionByName(done.withColumn("up", F.lit(None).cast(dict(level.dtypes)["up"])), allowMissingColumns=True)
+        further = sides.select("conv_id", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("score").alias("score2"))
+        joined = null_safe(reaching, further, ["conv_id", "up"])
+        level = cut_lineage(
+            joined.select("conv_id", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("score") + F.col("score2")).alias("score")),
+            "replies",
+        )
+        rooted = [done, level.filter("up IS NULL").drop("up")]
         open_before = still_open
-    rooted = level.filter("up IS NULL").select("conv_id", F.col("node"), "score")
+    ends = rooted[0] if len(rooted) == 1 else rooted[0].unionByName(rooted[1])
     parents = messages.select("conv_id", F.col("parent").alias("node")).distinct().withColumn("is_parent", F.lit(True))
-    leaves = null_safe(rooted, parents, ["conv_id", "node"], "left").filter("is_parent IS NULL")
+    leaves = null_safe(ends, parents, ["conv_id", "node"], "left").filter("is_parent IS NULL")
     best = Window.partitionBy("conv_id").orderBy(F.desc("score"), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per_conversation)
-    paths = chosen.select("conv_id", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("back"))
+    here = chosen.select("conv_id", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("back"), F.col("depth").alias("left"))
+    paths = cut_lineage(here, "paths") if levels else here
     for k in reversed(range(len(levels))):
-        met = null_safe(paths, levels[k], ["conv_id", "node"], "left")
-        here = F.struct(F.col("node").alias("node"), F.col("back").alias("back"))
-        there = F.struct(F.col("up").alias("node"), (F.col("back") + F.lit(1 << k)).alias("back"))
-        step = F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, there))
-        paths = met.select("conv_id", "leaf", "rank", F.inline(step))
-    return paths
+        # A node with at least 2^k ancestors brings in its 2^k-th; each distance has one binary form, so nothing comes twice.
+        met = null_safe(paths.filter(F.col("left") >= (1 << k)), levels[k], ["conv_id", "node"])
+        up = met.select("conv_id", "leaf", "rank", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back"), (F.col("left") - (1 << k)).alias("left"))
+        paths = cut_lineage(paths.unionByName(up), "paths") if k else paths.unionByName(up)
+    return paths.drop("left")
 
 
 def formatted_conversations(messages: DataFrame, per_conversation: int = 1, learn_from: str = "assistant") -> DataFrame:
