@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import bpe, chat, embeddings, language, packing, quality, sharding
+from reelmart.llm import bpe, chat, embeddings, language, ngrams, packing, quality, sharding
 from reelmart.llm.common import table
 
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -25,6 +25,10 @@ def op2_pstable_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op4_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     narrow = pieces.withColumn("ids_crc32", F.crc32("ids").cast("long")).drop("ids")
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_chat_formatting,
         op2_pstable_embedding_dedup,
+        op3_ngram_jaccard_join,
         op4_ffd_packing,
         op5_crf_quality,
         op6_backtracking_bpe,
