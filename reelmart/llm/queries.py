@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import bpe, chat, embeddings, language, ngrams, packing, quality, sharding
+from reelmart.llm import bpe, chat, embeddings, language, ngrams, packing, pii, quality, sharding
 from reelmart.llm.common import table
 
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -59,6 +59,10 @@ def op9_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame
     return language.identified(docs, language.fitted_languages(docs))
 
 
+def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_chat_formatting,
@@ -69,5 +73,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_backtracking_bpe,
         op8_feistel_sharding,
         op9_nearest_centroid_language,
+        op10_boosted_pii,
     ]
     return {f.__name__: f for f in named}
