@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import bpe, chat, embeddings, language, ngrams, packing, pii, quality, sharding
+from reelmart.llm import bpe, chat, embeddings, html, language, ngrams, packing, pii, quality, sharding
 from reelmart.llm.common import table
 
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -50,6 +50,11 @@ def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_crf_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extracted(pages, html.fitted_blocks(pages))
+
+
 def op8_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffled_shards(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_ffd_packing,
         op5_crf_quality,
         op6_backtracking_bpe,
+        op7_crf_html_extraction,
         op8_feistel_sharding,
         op9_nearest_centroid_language,
         op10_boosted_pii,
