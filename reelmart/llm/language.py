@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
@@ -98,13 +98,20 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return seen[:-1], int(seen[-1])
 
 
+def spark_map(values: dict[str, float]) -> Column:
+    """A map column of literals; empty maps need their types spelt out."""
+    if not values:
+        return F.create_map().cast("map<string,double>")
+    return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])
+
+
 def sample_counts(rows: DataFrame, per_language: int, languages: int) -> list[tuple[str, np.ndarray]]:
-    """Counts of at most ``per_language`` texts of each of the ``languages`` most frequent languages."""
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = rows.select("doc_id", "lang").join(F.broadcast(frequent), "lang").withColumn("rank", F.row_number().over(order))
-    chosen = ranked.filter(F.col("rank") <= per_language).select("doc_id", "lang").distinct()
-    texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    """Counts of about ``per_language`` texts of each of the ``languages`` most frequent languages, twice as many in all at most."""
+    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    # A hash threshold per language takes about as many rows of each, without gathering a language anywhere.
+    share = spark_map({r["lang"]: min(1.0, per_language / r["count"]) for r in frequent})
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 30)
+    texts = rows.filter(drawn).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blanks = letters_only()
@@ -112,7 +119,7 @@ def sample_counts(rows: DataFrame, per_language: int, languages: int) -> list[tu
             counts = [gram_counts(t.as_py(), blanks).clip(0, 65_535).astype("<u2").tobytes() for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(counts, pa.binary())], ["lang", "counts"])
 
-    found = texts.mapInArrow(run, "lang string, counts binary").limit(per_language * languages).collect()
+    found = texts.mapInArrow(run, "lang string, counts binary").limit(2 * per_language * languages).collect()
     return sorted(((r["lang"], bytes(r["counts"])) for r in found))
 
 
