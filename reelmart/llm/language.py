@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 BUCKETS = 4096
 CHUNK = 1 << 20  # code points of a text turned into bytes at a time
@@ -165,14 +166,14 @@ def fitted_languages(docs: DataFrame, clusters: int = 4, per_language: int = 400
     return model
 
 
-def identified(docs: DataFrame, model: Languages, keep_columns: bool = False) -> DataFrame:
+def identified(docs: DataFrame, model: Languages, rejected_column: str = "") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` of every row, from its whole text alone.
 
     NULL text, empty text and text without a letter give ``und``, score 0, rejected. With no
     learning rows every text does. Equal similarities go to the first language by name. With
-    ``keep_columns`` the columns of ``docs`` come along and ``_rejected`` is added.
+    ``rejected_column`` the columns of ``docs`` come along and only the rejection is added, by that name.
     """
-    source = docs if keep_columns else docs.select("doc_id", "text")
+    source = docs if rejected_column else docs.select("doc_id", "text")
     text_at = source.columns.index("text")
     kind = dict(source.dtypes)["doc_id"]
 
@@ -181,13 +182,13 @@ def identified(docs: DataFrame, model: Languages, keep_columns: bool = False) ->
         for batch in batches:
             found = [model.predict(t.as_py(), blanks) for t in batch.column(text_at)]
             name, score, rejected = zip(*found) if found else ((), (), ())
-            if keep_columns:
-                yield pa.record_batch([*batch.columns, pa.array(rejected, pa.bool_())], [*batch.schema.names, "_rejected"])
+            if rejected_column:
+                yield pa.record_batch([*batch.columns, pa.array(rejected, pa.bool_())], [*batch.schema.names, rejected_column])
             else:
                 made = [pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
                 yield pa.record_batch([batch.column(0), *made], ["doc_id", "lang_pred", "score", "rejected"])
 
-    if keep_columns:
-        return source.mapInArrow(run, source.schema.add("_rejected", "boolean"))
+    if rejected_column:
+        return source.mapInArrow(run, StructType([*source.schema.fields, StructField(rejected_column, BooleanType())]))
     out = source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
     return out.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import BoundedCache, null_safe, spread_blocks, whole_groups, worker_once
+from reelmart.llm.common import BoundedCache, fresh, null_safe, spread_blocks, whole_groups, worker_once
 from reelmart.llm.components import components
 from reelmart.session import cut_lineage
 
@@ -132,10 +132,15 @@ def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def text_hash() -> Column:
+    """Tells rows with the same id apart."""
+    return F.xxhash64("text").alias("text_hash")
+
+
 def signatures(docs: DataFrame, law: Law) -> DataFrame:
-    """``doc_id, n_shingles, digest_a, digest_b, bitmap, keys`` of each row."""
-    source = docs.select("doc_id", "text")
-    schema = f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, digest_a long, digest_b long, bitmap array<long>, keys array<long>"
+    """``doc_id, text_hash, n_shingles, digest_a, digest_b, bitmap, keys`` of each row."""
+    source = docs.select("doc_id", "text", text_hash())
+    schema = f"doc_id {dict(source.dtypes)['doc_id']}, text_hash long, n_shingles long, digest_a long, digest_b long, bitmap array<long>, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -147,13 +152,14 @@ def signatures(docs: DataFrame, law: Law) -> DataFrame:
                 yield pa.record_batch(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
                         pa.array([parity_bitmap(s) for s in sets], pa.list_(pa.int64())),
                         pa.array([law.keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "digest_a", "digest_b", "bitmap", "keys"],
+                    ["doc_id", "text_hash", "n_shingles", "digest_a", "digest_b", "bitmap", "keys"],
                 )
 
     return source.mapInArrow(run, schema)
@@ -263,6 +269,26 @@ def similar_documents(docs: DataFrame, words: int = 3, percent: int = 90) -> Dat
     least id reachable, its own where none is known. Other columns are not read; an empty
     table gives no rows.
     """
+    return grouped_documents(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` less all but one of each group of similar documents.
+
+    The one with the least id stays (NULL ids first). Rows without a word are no copies of
+    each other and all stay. All columns are kept.
+    """
+    groups = grouped_documents(docs, words, percent)
+    first = groups.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    mark, stays = fresh(docs, "_hash"), fresh(docs, "_stays")
+    wordless = ~F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    chosen = first.withColumnRenamed("text_hash", mark).withColumn(stays, F.lit(True))
+    stay = null_safe(docs.withColumn(mark, text_hash()).filter(~wordless), chosen, ["doc_id", mark])
+    return stay.drop(stays).dropDuplicates(["doc_id", mark]).drop(mark).unionByName(docs.filter(wordless))
+
+
+def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, root`` of each row; root names its group, NULL without a word."""
     law = Law(words, percent)
     signed = cut_lineage(signatures(docs, law), "signatures")
     digests = ["digest_a", "digest_b", "n_shingles"]
@@ -296,6 +322,6 @@ def similar_documents(docs: DataFrame, words: int = 3, percent: int = 90) -> Dat
     joined = classes.select("cid", *digests, "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
     least_id = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    known = joined.join(least_id, "root").select(*digests, "component_id")
-    out = signed.select("doc_id", *digests).join(known, digests, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    known = joined.join(least_id, "root").select(*digests, "component_id", "root")
+    out = signed.select("doc_id", "text_hash", *digests).join(known, digests, "left")
+    return out.select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "root")

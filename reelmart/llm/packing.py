@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from reelmart.llm.bpe import BEYOND_LATIN, LATIN_LETTER, LATIN_NUMBER, LATIN_SPACE
@@ -130,7 +131,7 @@ def packed(pieces: DataFrame, capacity: int = 2048, group_pieces: int = 2048, se
     placed = cut_lineage(pieces.withColumn("_place", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-placed.count() // group_pieces))
     dealt = placed.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), "_place"), F.lit(groups)))
-    out = placed.drop("_place").schema.add("sequence_id", "long").add("offset", "long")
+    out = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "_place"], ascending=[False, True], kind="stable")

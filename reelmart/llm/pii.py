@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmart.llm import boosting
+from reelmart.llm.common import fresh
 from reelmart.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -272,11 +273,12 @@ def redacted(docs: DataFrame, model: Model) -> DataFrame:
     Generators take their turn on what the ones before have left, so no span is cut in two.
     """
     order = sorted(range(len(GENERATORS)), key=lambda k: (not GENERATORS[k].base, ("email", "phone", "card", "ip").index(GENERATORS[k].kind)))
-    out = docs.withColumn("_text", F.col("text"))
+    text, parts_name = fresh(docs, "_text"), fresh(docs, "_parts")
+    out = docs.withColumn(text, F.col("text"))
     for k in order:
         generator = GENERATORS[k]
-        parts = F.col("_parts")
-        out = out.withColumn("_parts", found(F.coalesce(F.col("_text"), F.lit("")), generator))
+        parts = F.col(parts_name)
+        out = out.withColumn(parts_name, found(F.coalesce(F.col(text), F.lit("")), generator))
 
         def change(m: Column, i: Column, parts: Column = parts, generator: Generator = generator) -> Column:
             c = F.struct(
@@ -287,5 +289,5 @@ def redacted(docs: DataFrame, model: Model) -> DataFrame:
             )
             return bound(c, lambda c: F.when(model.accepts(c, generator), F.lit(f"[{generator.kind.upper()}]")).otherwise(c["match"]))
 
-        out = out.withColumn("_text", F.when(F.size(parts["matches"]) > 0, rebuilt(parts, change)).otherwise(F.col("_text")))
-    return out.withColumn("text", F.col("_text")).drop("_text", "_parts")
+        out = out.withColumn(text, F.when(F.size(parts["matches"]) > 0, rebuilt(parts, change)).otherwise(F.col(text)))
+    return out.withColumn("text", F.col(text)).drop(text, parts_name)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reelmart.llm import crf
 
@@ -170,18 +171,18 @@ SCHEMA = (
 )
 
 
-def judged_documents(docs: DataFrame, model: crf.Chain, share: float = 0.5, keep_columns: bool = False) -> DataFrame:
+def judged_documents(docs: DataFrame, model: crf.Chain, share: float = 0.5, kept_column: str = "") -> DataFrame:
     """``doc_id``, the base counts, ``base_failed``, ``kept`` and ``content_share`` of every row.
 
     Counts cover whole texts. NULL, empty and blank texts have no words and fail the base
     rules. Repeated rows are judged alike; an empty table gives no rows. With
-    ``keep_columns`` all columns of ``docs`` come along and the verdict is ``_kept`` only.
+    ``kept_column`` all columns of ``docs`` come along and only the verdict is added, by that name.
     """
-    source = docs if keep_columns else docs.select("doc_id", "text")
+    source = docs if kept_column else docs.select("doc_id", "text")
     text_at = source.columns.index("text")
     names = [s.split()[0] for s in SCHEMA.split(", ")]
-    if keep_columns:
-        schema = source.schema.add("_kept", "boolean")
+    if kept_column:
+        schema = StructType([*source.schema.fields, StructField(kept_column, BooleanType())])
     else:
         schema = f"doc_id {dict(source.dtypes)['doc_id']}, {SCHEMA}"
     types = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()]
@@ -191,8 +192,8 @@ def judged_documents(docs: DataFrame, model: crf.Chain, share: float = 0.5, keep
         for batch in batches:
             found = [measures(t.as_py(), flags, model, share) for t in batch.column(text_at)]
             columns = list(zip(*found)) or [[]] * len(names)
-            if keep_columns:
-                yield pa.record_batch([*batch.columns, pa.array(columns[6], pa.bool_())], [*batch.schema.names, "_kept"])
+            if kept_column:
+                yield pa.record_batch([*batch.columns, pa.array(columns[6], pa.bool_())], [*batch.schema.names, kept_column])
             else:
                 made = [pa.array(c, t) for c, t in zip(columns, types)]
                 yield pa.record_batch([batch.column(0), *made], ["doc_id", *names])
