@@ -72,21 +72,20 @@ def ratio_or_zero(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of doubles as decimals, so that no order of addition changes a bit.
+def steady_sum(value: Column) -> Column:
+    """Sum of doubles that hardly depends on the order of addition, at full precision.
 
-    What a decimal cannot hold (NaN, infinities, 1e20 and more) is added as double.
+    Each value is parted into a decimal of eight places, added exactly, and what is left
+    of it, added as double: for values of a few decimals that rest is zero or some units
+    in the last place, so replays agree to the bit. What a decimal cannot hold (NaN,
+    infinities, 1e20 and more) is rest as a whole.
     """
-    exact = value.try_cast("decimal(28,8)")
-    rest = F.sum(F.when(exact.isNull(), value))
-    total = F.sum(exact).cast("double")
-    return F.when(rest.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + rest)
+    part = value.try_cast("decimal(28,8)")
+    rest = F.sum(F.coalesce(value - part.cast("double"), value))
+    total = F.sum(part).cast("double")
+    return F.when(total.isNull(), rest).otherwise(total + rest)
 
 
-def exact_mean(value: Column) -> Column:
-    """Mean of doubles that is the same for every partitioning and every replay.
-
-    ``avg`` adds doubles in arrival order, so a rebuild may differ in the last
-    bits. Sums of decimals do not. NULLs are ignored; no values give NULL.
-    """
-    return exact_sum(value) / F.count(value)
+def steady_mean(value: Column) -> Column:
+    """Mean of doubles by ``steady_sum``; NULLs are ignored, no values give NULL."""
+    return steady_sum(value) / F.count(value)

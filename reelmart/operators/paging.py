@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import page_name
-from reelmart.session import cut_lineage, small_side
+from reelmart.session import cut_lineage
 
 # Rows per page and the safety limit of pages.
 PER_PAGE = 100
@@ -16,28 +16,31 @@ MAX_PAGES = 10_000
 def number_within(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Number the rows 1..n per key in ``order``, as column ``row_no``.
 
-    No key is ever gathered in one task: the rows are cut into sorted slices of
-    similar size, numbered inside (slice, key), and shifted by the rows the key
-    has in earlier slices. Slice bounds come from sampling, hence the written
-    table in between. ``order`` must be total within a key.
+    No key is ever gathered in one task: the rows are cut into sorted slices of similar
+    size, in which running ids follow the order, and an id becomes a number by the least id
+    of its slice and key and the rows the key has in earlier slices. Wide rows are shuffled
+    once. Slice bounds come from sampling, hence the written table in between. ``order``
+    must be total within a key.
     """
-    slices = df.repartitionByRange(key, *order).withColumn("_slice", F.spark_partition_id())
-    frozen = cut_lineage(slices, "numbered")
-    inside = Window.partitionBy("_slice", key).orderBy(*[F.asc(c) for c in order])
+    sliced = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    numbered = sliced.withColumn("_id", F.monotonically_increasing_id())
+    frozen = cut_lineage(numbered.withColumn("_slice", F.shiftright("_id", 33)), "numbered")
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (
-        frozen.groupBy("_slice", key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_slice", key, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
+    runs = frozen.groupBy("_slice", key).agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    # a row per slice and key, written so that its size is known to whoever joins it
+    shift = cut_lineage(
+        runs.select(
+            F.col("_slice").alias("_of"),
+            F.col(key).alias("_key"),
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_least") + 1).alias("_shift"),
+        ),
+        "shifts",
     )
-    numbered = frozen.withColumn("_place", F.row_number().over(inside))
-    # about one row per slice and key; rows without a key are numbered like any other
-    shift = small_side(shift.select(F.col("_slice").alias("_of"), F.col(key).alias("_key"), "_shift"))
     same = (F.col("_slice") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key"))
     return (
-        numbered.join(shift, same)
-        .withColumn("row_no", F.col("_place") + F.col("_shift"))
-        .drop("_slice", "_place", "_shift", "_of", "_key")
+        frozen.join(shift, same)
+        .withColumn("row_no", F.col("_id") + F.col("_shift"))
+        .drop("_slice", "_id", "_shift", "_of", "_key")
     )
 
 
@@ -97,24 +100,31 @@ def page_completeness(
 ) -> DataFrame:
     """Per run and media, whether its pages are whole.
 
-    ``pages`` holds one row per page file: number and records. Complete means pages
-    1..n without gaps, all but the last one full, the last one short. All parts are
-    plain aggregates, combined before the shuffle.
+    ``pages`` holds one row per page file: number and records, and perhaps ``broken``.
+    Complete means pages 1..n, each landed once and readable, all but the last one full,
+    the last one short, none at or beyond the limit. A file without a page number is one
+    page too many. All parts are plain aggregates, combined before the shuffle.
     """
-    seen = pages.groupBy(*by).agg(
+    broken = F.col("broken") if "broken" in pages.columns else F.lit(False)
+    single = pages.groupBy(*by, "page").agg(
+        F.sum("records").alias("records"), F.count(F.lit(1)).alias("files"), F.max(broken).alias("broken")
+    )
+    seen = single.groupBy(*by).agg(
         F.min("page").alias("first_page"),
         F.max("page").alias("last_page"),
-        F.count(F.lit(1)).alias("pages"),
+        F.sum("files").alias("pages"),
+        F.count("page").alias("_numbers"),
         F.sum("records").alias("records"),
-        F.count_if(F.col("records") == per_page).alias("full_pages"),
+        F.count_if((F.col("records") == per_page) & (F.col("files") == 1)).alias("full_pages"),
         F.max_by("records", "page").alias("last_page_records"),
+        F.max("broken").alias("_broken"),
     )
-    gapless = (F.col("first_page") == 1) & (F.col("last_page") == F.col("pages"))
+    gapless = (F.col("first_page") == 1) & (F.col("last_page") == F.col("_numbers")) & (F.col("_numbers") == F.col("pages"))
     filled = (F.col("full_pages") == F.col("pages") - 1) & (F.col("last_page_records") < per_page)
-    return seen.withColumns({
-        "complete": gapless & filled,
-        "over_limit": (F.col("last_page") >= max_pages) & (F.col("last_page_records") >= per_page),
-    })
+    at_limit = (F.col("last_page") == max_pages) & (F.col("last_page_records") >= per_page)
+    over = F.coalesce((F.col("last_page") > max_pages) | at_limit, F.lit(False))
+    whole = F.coalesce(gapless & filled, F.lit(False)) & ~F.col("_broken") & ~over
+    return seen.withColumns({"complete": whole, "over_limit": over}).drop("_numbers", "_broken")
 
 
 def require_complete(completeness: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.functions.scalars import exact_mean, exact_sum, ratio_or_zero
+from reelmart.functions.scalars import steady_mean, steady_sum, ratio_or_zero
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -50,7 +50,7 @@ def engagement_by_country(fact_event: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.count_distinct("visitor_key").alias("unique_visitors"),
-            F.round(exact_mean(F.col("percent_viewed")), 2).alias("avg_percent_viewed"),
+            F.round(steady_mean(F.col("percent_viewed")), 2).alias("avg_percent_viewed"),
         )
         .orderBy(F.desc("event_count"), "country")
     )
@@ -91,7 +91,7 @@ def _totals() -> list:
     return [
         F.sum("play_count").alias("total_plays"),
         F.sum("load_count").alias("total_loads"),
-        exact_sum(F.col("total_watch_time_hours")).alias("watch_time_hours"),
+        steady_sum(F.col("total_watch_time_hours")).alias("watch_time_hours"),
     ]
 
 

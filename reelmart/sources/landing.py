@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import iso_date, iso_timestamp
@@ -56,9 +56,23 @@ def read_landed(
     return rows.withColumn(SOURCE, F.col("_metadata.file_path"))
 
 
+def is_broken(landed: DataFrame) -> Column:
+    """Whether a landed row stands for a file that does not parse.
+
+    Such a row has no payload; naming one payload field keeps the reader from refusing a
+    scan of nothing but the broken text.
+    """
+    return F.col(CORRUPT).isNotNull() & F.col(landed.columns[0]).isNull()
+
+
+def readable(landed: DataFrame) -> DataFrame:
+    """Landed rows without those of broken files and without their text column."""
+    return landed.filter(~is_broken(landed)).drop(CORRUPT) if CORRUPT in landed.columns else landed
+
+
 def quarantined(landed: DataFrame) -> DataFrame:
     """The rows of files that do not parse, with the file and its text."""
-    return landed.filter(F.col(CORRUPT).isNotNull()).select(SOURCE, CORRUPT)
+    return landed.filter(is_broken(landed)).select(SOURCE, CORRUPT)
 
 
 def read_audits(spark: SparkSession, path: str) -> DataFrame:
@@ -84,16 +98,29 @@ def require_runs(runs: DataFrame) -> DataFrame:
     return runs
 
 
+def path_part(source: Column, pattern: str) -> Column:
+    """A part of a file path as it was written, '' where the path has none.
+
+    Paths come as URIs, and partition folders escape special characters on top of that, so
+    a part is decoded twice; a plus sign stands for itself. What is no valid code stays.
+    """
+    part = F.regexp_extract(source, pattern, 1)
+    for _ in range(2):
+        plain = F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+        part = F.when(F.contains(part, F.lit("%")), F.coalesce(plain, part)).otherwise(part)
+    return part
+
+
 def lineage(landed: DataFrame, media_in_path: bool = True) -> DataFrame:
     """Ingestion date, run and media named by the path; '' where it names none."""
     source = F.col(SOURCE)
     columns = {
         "ingestion_date": iso_date(F.regexp_extract(source, DATE_IN_PATH, 1)),
         # never NULL, and known to be: a join on it then adds no second evaluation as null check
-        "run_id": F.coalesce(F.regexp_extract(source, RUN_IN_PATH, 1), F.lit("")),
+        "run_id": F.coalesce(path_part(source, RUN_IN_PATH), F.lit("")),
     }
     if media_in_path:
-        columns["media_id_from_path"] = F.regexp_extract(source, MEDIA_IN_PATH, 1)
+        columns["media_id_from_path"] = path_part(source, MEDIA_IN_PATH)
     return landed.withColumns(columns)
 
 
@@ -107,23 +134,24 @@ def rows_of_runs(landed: DataFrame, runs: DataFrame, media_in_path: bool = True)
 
 
 def landed_objects(spark: SparkSession, base: str, dataset: str, ingestion_dates: list[str] | None = None) -> DataFrame:
-    """One row per landed file with its run, media, page and number of records.
+    """One row per landed file with its run, media, page, records and whether it is broken.
 
     The file list comes from a scan that reads no content; files without rows, such
-    as an empty last page, are only known from it.
+    as an empty last page, are only known from it. Both scans name files alike. A file
+    that does not parse has no records and counts as broken.
     """
     root = f"{base.rstrip('/')}/{dataset}"
     paths = [f"{root}/ingestion_date={d}" for d in ingestion_dates] if ingestion_dates else [root]
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        .select(F.col("path").alias(SOURCE))
-    )
-    counted = (
-        read_landed(spark, base, dataset, ingestion_dates)
-        .groupBy(SOURCE).agg(F.count(F.lit(1)).alias("records"))
+        .select(F.col("_metadata.file_path").alias(SOURCE))
     )
+    landed = read_landed(spark, base, dataset, ingestion_dates)
+    broken = is_broken(landed)
+    counted = landed.groupBy(SOURCE).agg(F.count_if(~broken).alias("records"), F.max(broken).alias("broken"))
     found = files.join(counted, SOURCE, "left").withColumns({
         "records": F.coalesce("records", F.lit(0).cast("long")),
+        "broken": F.coalesce("broken", F.lit(False)),
         "endpoint": F.lit(dataset),
     })
     named = lineage(found).withColumnRenamed("media_id_from_path", "media_id")

@@ -64,6 +64,20 @@ def test_landed_pages_read_back_with_empty_ones(spark, tmp_path):
     ]
 
 
+def test_odd_names_and_broken_pages(spark, tmp_path):
+    """Media with characters that paths escape, and a page that does not parse."""
+    for media, bodies in {"a b": ['[{"event_key": "1"}, {"event_key": "2"}]', "[]"], "c%2Fd+e": ['[{"event_key": "3"}]'], "x": ["[{]"]}.items():
+        for page, body in enumerate(bodies, 1):
+            folder = tmp_path / "events" / "ingestion_date=2026-01-01" / "run_id=r 1" / f"media_id={media}"
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / f"page={page:06d}.json").write_text(body)
+    objects = landed_objects(spark, str(tmp_path), "events")
+    found = rows(objects.select("run_id", "media_id", "page", "records", "broken"))
+    assert found == [("r 1", "a b", 1, 2, False), ("r 1", "a b", 2, 0, False), ("r 1", "c/d+e", 1, 1, False), ("r 1", "x", 1, 0, True)]
+    whole = paging.page_completeness(objects, ["run_id", "media_id"], 2).filter("complete").collect()
+    assert {r["media_id"] for r in whole} == {"a b", "c/d+e"}
+
+
 def test_landed_visitors_do_not_show_their_key(spark, tmp_path):
     visitors = spark.createDataFrame([("visitor-9", '{"visitor_key": "visitor-9"}')], "visitor_key string, body string")
     land_visitors(visitors, str(tmp_path), "2026-01-01", "r1")
@@ -78,6 +92,9 @@ PAGES = {
     "no first": [(2, 3), (3, 1)],
     "short inside": [(1, 3), (2, 2), (3, 1)],
     "cut at limit": [(1, 3), (2, 3), (3, 3)],
+    "beyond limit": [(1, 3), (2, 3), (3, 3), (4, 3), (5, 3), (6, 1)],
+    "repeated": [(1, 3), (1, 3), (3, 1)],
+    "no number": [(1, 3), (2, 1), (None, 1)],
 }
 
 
@@ -87,7 +104,7 @@ def test_completeness(spark):
     )
     found = {r["media_id"]: r for r in paging.page_completeness(pages, ["media_id"], 3, 3).collect()}
     assert {m for m, r in found.items() if r["complete"]} == {"whole", "single"}
-    assert {m for m, r in found.items() if r["over_limit"]} == {"cut at limit"}
+    assert {m for m, r in found.items() if r["over_limit"]} == {"cut at limit", "beyond limit"}
     with pytest.raises(ValueError):
         paging.require_complete(paging.page_completeness(pages, ["media_id"], 3))
 

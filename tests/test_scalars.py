@@ -67,23 +67,30 @@ def test_ratio_guards_zero_and_missing(spark):
     assert [r[0] for r in df.select(fn.ratio_or_zero(F.col("p"), F.col("l"))).collect()] == [0.5, 0.0, 0.0, None]
 
 
-def test_exact_mean_does_not_depend_on_order(spark):
+def test_steady_mean_does_not_depend_on_order(spark):
     df = spark.range(10_000).select((F.rand(7) * 100).alias("v")).cache()
-    means = {df.repartition(n).agg(fn.exact_mean(F.col("v"))).first()[0] for n in (1, 3, 16)}
+    means = {df.repartition(n).agg(fn.steady_mean(F.col("v"))).first()[0] for n in (1, 3, 16)}
     assert len(means) == 1
     assert abs(means.pop() - df.agg(F.avg("v")).first()[0]) < 1e-6
 
 
-def test_exact_mean_ignores_nulls(spark):
+def test_steady_mean_ignores_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "v double")
-    assert df.agg(fn.exact_mean(F.col("v"))).first()[0] == 1.5
-    assert df.filter("v is null").agg(fn.exact_mean(F.col("v"))).first()[0] is None
+    assert df.agg(fn.steady_mean(F.col("v"))).first()[0] == 1.5
+    assert df.filter("v is null").agg(fn.steady_mean(F.col("v"))).first()[0] is None
 
 
-def test_exact_mean_of_values_no_decimal_holds(spark):
+def test_steady_mean_of_values_no_decimal_holds(spark):
     def mean(*values):
         df = spark.createDataFrame([(v,) for v in values], "v double")
-        return df.agg(fn.exact_mean(F.col("v"))).first()[0]
+        return df.agg(fn.steady_mean(F.col("v"))).first()[0]
 
     assert mean(1e30, 1.0) == (1e30 + 1.0) / 2 and mean(float("inf")) == float("inf")
     assert math.isnan(mean(1.0, float("nan")))
+
+
+def test_steady_sum_keeps_small_and_large_values(spark):
+    df = spark.createDataFrame([(4e-9,), (4e-9,), (4e-9,)], "v double")
+    assert abs(df.agg(fn.steady_sum(F.col("v"))).first()[0] - 1.2e-8) < 1e-20
+    df = spark.createDataFrame([(1e22,), (1e22,), (0.5,)], "v double")
+    assert df.agg(fn.steady_sum(F.col("v"))).first()[0] == 2e22

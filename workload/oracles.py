@@ -40,7 +40,7 @@ FRAGMENTS = {
                event_type AS browser, k AS browser_version, value > 50 AS is_mobile, r_name AS platform,
                runs.ingested_at, runs.run_id, runs.run_date AS ingestion_date
         FROM ev, lags, people, runs
-        WHERE event_type IN ('click', 'purchase') AND user_id = c_custkey
+        WHERE user_id = c_custkey
           AND runs.run_date = day + CAST(lag AS INTEGER)""",
     "silver_events": """
         SELECT * EXCLUDE (ingestion_date, place), CAST(received_at AS DATE) AS event_date FROM (
@@ -52,8 +52,8 @@ FRAGMENTS = {
                count(*) FILTER (event_type = 'click') AS clicks,
                count(*) FILTER (event_type = 'purchase') AS buys,
                count(DISTINCT user_id) AS users,
-               CAST(sum(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) AS total,
-               CAST(sum(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) / count(*) AS mean
+               (CAST(sum(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) + sum(value - CAST(CAST(value AS DECIMAL(28, 8)) AS DOUBLE))) AS total,
+               (CAST(sum(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) + sum(value - CAST(CAST(value AS DECIMAL(28, 8)) AS DOUBLE))) / count(*) AS mean
         FROM ev GROUP BY ALL""",
     "daily_rows": """
         SELECT media_id, day AS stat_date, total / 3600.0 AS hours_watched,
@@ -75,7 +75,7 @@ FRAGMENTS = {
                      row_number() OVER (PARTITION BY media_id, run_id ORDER BY day DESC) AS place
               FROM media_days, lags, runs WHERE runs.run_date = day + CAST(lag AS INTEGER)) WHERE place = 1""",
     "curves": """
-        SELECT media_id, day, CAST(sum(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) / count(*) AS engagement,
+        SELECT media_id, day, (CAST(sum(CAST(value AS DECIMAL(28, 8))) AS DOUBLE) + sum(value - CAST(CAST(value AS DECIMAL(28, 8)) AS DOUBLE))) / count(*) AS engagement,
                """ + " || ',' || ".join(
         f"count(*) FILTER (least(floor(value / 10), 9) = {b})" for b in range(10)
     ) + """ AS engagement_data,
@@ -156,7 +156,7 @@ FRAGMENTS = {
     "event_daily": """
         SELECT media_id, event_date AS stat_date, count(event_key) AS event_count,
                count(DISTINCT visitor_key) AS unique_visitors,
-               CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) / count(percent_viewed) AS watched_percent
+               (CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) + sum(percent_viewed - CAST(CAST(percent_viewed AS DECIMAL(28, 8)) AS DOUBLE))) / count(percent_viewed) AS watched_percent
         FROM silver_events GROUP BY ALL""",
     "fact_media_engagement": """
         SELECT d.media_id, d.stat_date, load_count, play_count, hours_watched AS total_watch_time_hours,
@@ -196,8 +196,7 @@ FRAGMENTS = {
           SELECT *, row_number() OVER (PARTITION BY pipeline_stage ORDER BY end_ts DESC, run_id DESC) AS place
           FROM stage_audits) WHERE place = 1""",
     "engagement_events": """
-        SELECT 'e' || event_id AS event_key, event_id, media_id, day, ts FROM ev
-        WHERE event_type IN ('click', 'purchase')""",
+        SELECT 'e' || event_id AS event_key, event_id, media_id, day, ts FROM ev""",
     "spine": """
         SELECT media_id, page, CASE WHEN page <= full_pages THEN 20 ELSE total - full_pages * 20 END AS records
         FROM (SELECT media_id, total, total // 20 AS full_pages, unnest(range(1, total // 20 + 2)) AS page
@@ -241,7 +240,7 @@ ORACLES = {
                 CASE WHEN event_type = 'purchase' AND value > 300 THEN NULL ELSE ts END AS received_at,
                 least(value, 100.0) AS percent_viewed, event_type AS browser, value > 50 AS is_mobile,
                 'run-20240131' AS run_id
-              FROM ev JOIN customer ON user_id = c_custkey WHERE event_type IN ('click', 'purchase'))""",
+              FROM ev JOIN customer ON user_id = c_custkey)""",
     "landed_page_files": """
         SELECT media_id, 'run-20240131' AS run_id, DATE '2024-01-31' AS ingestion_date, page,
                CASE WHEN page <= total // 100 THEN 100 ELSE total % 100 END AS records
@@ -268,7 +267,7 @@ ORACLES = {
         FROM media_days d
         LEFT JOIN part ON d.media_id = 'm' || p_partkey
         LEFT JOIN (SELECT media_id, event_date, count(*) AS n, count(DISTINCT visitor_key) AS visitors,
-                          CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) / count(*) AS watched
+                          (CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) + sum(percent_viewed - CAST(CAST(percent_viewed AS DECIMAL(28, 8)) AS DOUBLE))) / count(*) AS watched
                    FROM stream_events GROUP BY ALL) e ON d.media_id = e.media_id AND d.day = e.event_date""",
     "parquet_roundtrip": "SELECT * FROM fact_media_engagement",
     "partition_prune_read": """
@@ -288,7 +287,7 @@ ORACLES = {
     "lineage_from_path": """
         SELECT 'e' || event_id AS event_key, CAST(day + CAST(lag AS INTEGER) AS DATE) AS ingestion_date,
                'run-' || strftime(day + CAST(lag AS INTEGER), '%Y%m%d') AS run_id, media_id AS media_id_from_path
-        FROM ev, lags WHERE event_type IN ('click', 'purchase')""",
+        FROM ev, lags""",
     "successful_run_rows": """
         SELECT run_id, ingested_at, count(*) AS landed_rows FROM event_rows GROUP BY ALL""",
     "silver_media": "SELECT * FROM silver_media",
@@ -345,7 +344,7 @@ ORACLES = {
     "engagement_by_country": """
         SELECT coalesce(country, 'UNKNOWN') AS country, count(*) AS event_count,
                count(DISTINCT visitor_key) AS unique_visitors,
-               CAST(round(CAST(CAST(CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) / count(percent_viewed)
+               CAST(round(CAST(CAST((CAST(sum(CAST(percent_viewed AS DECIMAL(28, 8))) AS DOUBLE) + sum(percent_viewed - CAST(CAST(percent_viewed AS DECIMAL(28, 8)) AS DOUBLE))) / count(percent_viewed)
                  AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS avg_percent_viewed
         FROM fact_engagement_event GROUP BY 1 ORDER BY event_count DESC, country""",
     "orphan_media_rows": """
@@ -369,19 +368,19 @@ ORACLES = {
                CASE WHEN total_loads > 0 THEN CAST(total_plays AS DOUBLE) / total_loads ELSE 0.0 END AS play_rate
         FROM (SELECT media_id, CAST(sum(play_count) AS BIGINT) AS total_plays,
                      CAST(sum(load_count) AS BIGINT) AS total_loads,
-                     CAST(sum(CAST(total_watch_time_hours AS DECIMAL(28, 8))) AS DOUBLE) AS watch_time_hours,
+                     (CAST(sum(CAST(total_watch_time_hours AS DECIMAL(28, 8))) AS DOUBLE) + sum(total_watch_time_hours - CAST(CAST(total_watch_time_hours AS DECIMAL(28, 8)) AS DOUBLE))) AS watch_time_hours,
                      CAST(sum(event_count) AS BIGINT) AS total_events
               FROM fact_media_engagement GROUP BY media_id) LEFT JOIN dim_media USING (media_id)""",
     "plays_over_time": """
         SELECT stat_date, CAST(sum(play_count) AS BIGINT) AS total_plays,
                CAST(sum(load_count) AS BIGINT) AS total_loads,
-               CAST(sum(CAST(total_watch_time_hours AS DECIMAL(28, 8))) AS DOUBLE) AS watch_time_hours
+               (CAST(sum(CAST(total_watch_time_hours AS DECIMAL(28, 8))) AS DOUBLE) + sum(total_watch_time_hours - CAST(CAST(total_watch_time_hours AS DECIMAL(28, 8)) AS DOUBLE))) AS watch_time_hours
         FROM fact_media_engagement GROUP BY stat_date ORDER BY stat_date""",
     "overall_kpis": """
         SELECT total_plays, total_loads, watch_time_hours,
                CASE WHEN total_loads > 0 THEN CAST(total_plays AS DOUBLE) / total_loads ELSE 0.0 END AS play_rate
         FROM (SELECT CAST(sum(play_count) AS BIGINT) AS total_plays, CAST(sum(load_count) AS BIGINT) AS total_loads,
-                     CAST(sum(CAST(total_watch_time_hours AS DECIMAL(28, 8))) AS DOUBLE) AS watch_time_hours
+                     (CAST(sum(CAST(total_watch_time_hours AS DECIMAL(28, 8))) AS DOUBLE) + sum(total_watch_time_hours - CAST(CAST(total_watch_time_hours AS DECIMAL(28, 8)) AS DOUBLE))) AS watch_time_hours
               FROM fact_media_engagement)""",
     # quality
     "blank_key_rows": "SELECT * FROM unchecked WHERE event_key IS NULL OR trim(event_key) = ''",
@@ -423,7 +422,7 @@ ORACLES = {
     "page_spine": "SELECT media_id, page, records FROM spine",
     "page_completeness": """
         SELECT *, first_page = 1 AND last_page = pages AND full_pages = pages - 1 AND last_page_records < 20 AS complete,
-               last_page >= 10000 AND last_page_records >= 20 AS over_limit
+               last_page > 10000 OR (last_page = 10000 AND last_page_records >= 20) AS over_limit
         FROM (SELECT source, media_id, min(page) AS first_page, max(page) AS last_page, count(*) AS pages,
                      CAST(sum(records) AS BIGINT) AS records, count(*) FILTER (records = 20) AS full_pages,
                      max_by(records, page) AS last_page_records
@@ -440,7 +439,7 @@ ORACLES = {
         LEFT JOIN windows w ON o.media_id = w.media_id GROUP BY o.media_id, endpoint""",
     "visitor_discovery": """
         SELECT DISTINCT 'v' || user_id AS visitor_key FROM ev
-        WHERE event_type IN ('click', 'purchase') AND value < 200 ORDER BY visitor_key""",
+        WHERE value < 200 ORDER BY visitor_key""",
     # incremental state
     "date_windows": "SELECT media_id, start_date, end_date FROM windows",
     "incremental_events": """
@@ -503,7 +502,7 @@ FRAGMENTS["stream_events"] = """
            CAST(received_at AS DATE) AS event_date
     FROM (SELECT 'e' || event_id AS event_key, media_id, CASE WHEN value < 200 THEN 'v' || user_id END AS visitor_key,
                  CASE WHEN event_type = 'purchase' AND value > 300 THEN NULL ELSE ts END AS received_at, value
-          FROM ev JOIN customer ON user_id = c_custkey WHERE event_type IN ('click', 'purchase'))"""
+          FROM ev JOIN customer ON user_id = c_custkey)"""
 
 
 def with_fragments(query: str) -> str:

@@ -286,7 +286,7 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def engagement_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = testbed.events(spark, sf_dir).filter(F.col("event_type").isin("click", "purchase"))
+    made = testbed.events(spark, sf_dir)
     return made.select(F.concat(F.lit("e"), "event_id").alias("event_key"), "event_id", "media_id", "day", "ts")
 
 
@@ -336,18 +336,14 @@ def endpoint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last day with a value above 250 stands for the committed end date of a media."""
-    return (
-        testbed.events(spark, sf_dir).filter("value > 250")
-        .groupBy("media_id").agg(F.max("day").alias("last_successful_end_date"))
-    )
+    """Per media the last day with a value above 250, over all events; a media without one has no state yet."""
+    last = F.max(F.when(F.col("value") > 250, F.col("day"))).alias("last_successful_end_date")
+    return testbed.events(spark, sf_dir).groupBy("media_id").agg(last).filter("last_successful_end_date IS NOT NULL")
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        testbed.events(spark, sf_dir).filter("value > 200")
-        .groupBy("media_id").agg(F.min("day").alias("last_successful_end_date"))
-    )
+    first = F.min(F.when(F.col("value") > 200, F.col("day"))).alias("last_successful_end_date")
+    return testbed.events(spark, sf_dir).groupBy("media_id").agg(first).filter("last_successful_end_date IS NOT NULL")
 
 
 def date_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Each function returns rows as ``sources.landing.read_landed`` would: payload
 fields plus the source file. ``workload.oracles`` derives the same in SQL.
 
-* events: clicks and purchases. The run of day D lands the dates D - 1 and D, so
+* events: all five types. The run of day D lands the dates D - 1 and D, so
   each event is landed twice, the second time with a value one higher. Sunday
   runs fail and their rows must vanish.
 * daily stats, cumulative stats and curves: events per media and date.
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.functions.scalars import exact_mean, exact_sum
+from reelmart.functions.scalars import steady_mean, steady_sum
 from reelmart.session import configure
 from reelmart.sources.landing import SOURCE, successful_runs
 
@@ -103,7 +103,7 @@ def agent(browser: Column, version: Column, mobile: Column, platform: Column) ->
 
 def event_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Engagement events with the payload fields of a landed event, one row per event."""
-    made = events(spark, sf_dir).filter(F.col("event_type").isin("click", "purchase"))
+    made = events(spark, sf_dir)
     who = people(spark, sf_dir)
     purchase = F.col("event_type") == "purchase"
     return made.join(who, F.col("user_id") == F.col("c_custkey")).select(
@@ -152,8 +152,8 @@ def media_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(kind == "click").alias("clicks"),
         F.count_if(kind == "purchase").alias("buys"),
         F.count_distinct("user_id").alias("users"),
-        exact_sum(F.col("value")).alias("total"),
-        exact_mean(F.col("value")).alias("mean"),
+        steady_sum(F.col("value")).alias("total"),
+        steady_mean(F.col("value")).alias("mean"),
     )
 
 
@@ -190,7 +190,7 @@ def landed_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     tenth = F.least(F.floor(F.col("value") / 10), F.lit(CURVE_BINS - 1))
     bins = range(CURVE_BINS)
     counts = rows.groupBy("media_id", "day").agg(
-        exact_mean(F.col("value")).alias("engagement"),
+        steady_mean(F.col("value")).alias("engagement"),
         F.array(*[F.count_if(tenth == b) for b in bins]).alias("engagement_data"),
         F.array(*[F.count_if((tenth == b) & (F.col("event_type") == "view")) for b in bins]).alias("rewatch_data"),
     )
