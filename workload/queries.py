@@ -95,15 +95,23 @@ PAYLOAD = [
 ]
 
 
-def land_engagement(spark: SparkSession, sf_dir: str, base: str | None = None) -> str:
+def land_engagement(
+    spark: SparkSession,
+    sf_dir: str,
+    base: str | None = None,
+    date: str = RUN_DATE,
+    run_id: str = RUN_ID,
+    percent: float | None = None,
+) -> str:
     """Land all engagement events as JSON pages of one run; returns the landing folder."""
     base = base or scratch_path(spark, "landing")
-    rows = testbed.event_payload(spark, sf_dir).withColumn("percent_viewed", F.least("value", F.lit(100.0)))
+    seen = F.least("value", F.lit(100.0)) if percent is None else F.lit(percent)
+    rows = testbed.event_payload(spark, sf_dir).withColumn("percent_viewed", seen)
     rows = rows.select("path_media", "ts", "event_id", *PAYLOAD)
     pages = paging.page_payloads(
         rows.select("path_media").distinct(), rows, "path_media", PAYLOAD, ["ts", "event_id"]
     ).withColumnRenamed("path_media", "media_id")
-    landing_sink.land_pages(pages, base, RUN_DATE, RUN_ID)
+    landing_sink.land_pages(pages, base, date, run_id)
     return base
 
 
@@ -236,13 +244,17 @@ def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = land_engagement(spark, sf_dir)
-    work = scratch_path(spark, "event-merge")
+    """Two overlapping runs, the later one approved first; the earlier one must not win afterwards."""
+    base, work = land_engagement(spark, sf_dir), scratch_path(spark, "event-merge")
+    land_engagement(spark, sf_dir, base, "2024-01-30", "run-20240130", percent=0.0)
+    log = f"{work}/log"
+    ingest.append_landed(ingest.landed_stream(spark, base, "events"), log, f"{log}-checkpoint").awaitTermination()
     runs = testbed.runs(spark, sf_dir)
-    stream = silver.run_events(ingest.landed_stream(spark, base, "events"), runs)
-    ingest.merge_stream(
-        stream, f"{work}/table", f"{work}/batches", ["event_key"], [F.desc_nulls_last("ingested_at")], buckets=8
-    ).awaitTermination()
+    for approved in (runs.filter(F.col("run_id") == RUN_ID), runs):
+        ingest.merge_runs(
+            spark.read.parquet(log), approved, f"{work}/table", f"{work}/merges", ["event_key"],
+            [F.desc_nulls_last("ingested_at")], buckets=8,
+        )
     return silver.flat_events(spark.read.parquet(f"{work}/table")).select(*STREAMED)
 
 
