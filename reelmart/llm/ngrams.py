@@ -7,15 +7,17 @@ same in both. (band, part, contents) names a tile; only members of a tile are co
 first by hashed parity bitmaps, whose differing bits bound the overlap from above, then by
 exact intersection of the sorted shingle arrays.
 
-The first pass compares each member of a tile with its least member. What is linked by then
-forms components; later only members of one tile in different components are compared, so a
-huge group of copies costs its size and not the square of it.
+The first pass compares each member of a tile with its least member, the second with the
+one that shares the most tiles with others. What is linked by then forms components; only
+members of one tile in different components are compared in full, so a huge group of
+copies costs its size and not the square of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -287,6 +289,13 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     return stay.drop(stays).dropDuplicates(["doc_id", mark]).drop(mark).unionByName(docs.filter(wordless))
 
 
+def mixed_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (key, cid, size) of tiles that hold several components, with their ``root``."""
+    rooted = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return rooted.join(mixed.select("key"), "key", "left_semi")
+
+
 def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id, root`` of each row; root names its group, NULL without a word."""
     law = Law(words, percent)
@@ -299,25 +308,42 @@ def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     least = F.min("cid").over(Window.partitionBy("key").orderBy("cid"))
     # Sorted by key, the least member comes first: rows stream by, no tile is gathered.
     stars = cut_lineage(slots.withColumn("first", least).filter("cid <> first"), "stars")
-    pairs = stars.select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct()
-    possible = cut_lineage(bounded(pairs, classes, law), "possible")
-    wanted = possible.select(F.col("a").alias("cid")).union(possible.select("b")).distinct()
-    sets = cut_lineage(candidate_sets(docs, wanted.join(classes.select("cid", "doc_id", "digest_a", "digest_b"), "cid"), law), "sets")
-    links = cut_lineage(verified(possible, sets, law), "links")
+    ids = classes.select("cid", "doc_id", "digest_a", "digest_b")
+    tested: list[DataFrame] = []
+    sets: list[DataFrame] = []
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs`` (a, b) that have not been tested before."""
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        tested.append(cut_lineage(pairs.distinct(), "pairs"))
+        possible = cut_lineage(bounded(tested[-1], classes, law), "possible")
+        wanted = possible.select(F.col("a").alias("cid")).union(possible.select("b")).distinct()
+        for known in sets:
+            wanted = wanted.join(known.select("cid"), "cid", "left_anti")
+        sets.append(cut_lineage(candidate_sets(docs, wanted.join(ids, "cid"), law), "sets"))
+        return cut_lineage(verified(possible, reduce(DataFrame.unionByName, sets), law), "links")
+
+    links = confirmed(stars.select(F.col("first").alias("a"), F.col("cid").alias("b")))
     roots = components(links, "a", "b")
-
     members = stars.select("key", "cid").unionByName(stars.select("key", F.col("first").alias("cid")).distinct())
-    members = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    members = cut_lineage(members, "members")
-    mixed = members.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = mixed.filter("low <> high AND size > 2").select("key", "size")
-    later = cross_component_pairs(members.join(mixed, "key"), classes, law)
-    later = cut_lineage(later.join(pairs, ["a", "b"], "left_anti"), "later")
-    missing = later.select(F.col("a").alias("cid")).union(later.select("b")).distinct().join(sets.select("cid"), "cid", "left_anti")
-    more = candidate_sets(docs, missing.join(classes.select("cid", "doc_id", "digest_a", "digest_b"), "cid"), law)
-    if not later.isEmpty():
-        found = verified(later, cut_lineage(sets.unionByName(more), "sets"), law)
-        links = cut_lineage(links.unionByName(found), "links")
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 2")
+    members = cut_lineage(members.join(sizes, "key"), "members")
+
+    # Copies of one text may each be close to it and not to each other. The text itself shares most with the others.
+    shared = members.groupBy("cid").agg(F.sum("size").alias("shared"))
+    inside = cut_lineage(mixed_tiles(members, roots).join(shared, "cid"), "mixed")
+    middle = inside.groupBy("key").agg(F.max(F.struct("shared", "cid", "root")).alias("middle"))
+    around = inside.join(middle, "key").filter("root <> middle.root")
+    more = confirmed(around.select(F.least("cid", "middle.cid").alias("a"), F.greatest("cid", "middle.cid").alias("b")))
+    if not more.isEmpty():
+        links = cut_lineage(links.unionByName(more), "links")
+        roots = components(links, "a", "b")
+
+    # What is still in several components is compared in full.
+    rest = cut_lineage(cross_component_pairs(mixed_tiles(members, roots), classes, law), "rest")
+    if not rest.isEmpty():
+        links = cut_lineage(links.unionByName(confirmed(rest)), "links")
         roots = components(links, "a", "b")
     joined = classes.select("cid", *digests, "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
