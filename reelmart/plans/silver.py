@@ -7,118 +7,75 @@ source file) and the successful runs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import asset_count, iso_date, iso_timestamp
 from reelmart.operators.dedup import latest_by
-from reelmart.sources.landing import CORRUPT, SOURCE, read_landed, rows_of_runs
+from reelmart.schemas import SILVER, SILVER_SOURCES
+from reelmart.sources.landing import CORRUPT, SOURCE, quarantined, read_landed, readable, rows_of_runs
 
 
-def _agent_columns() -> list:
-    agent = F.col("user_agent_details")
-    return [
-        agent["browser"].alias("browser"),
-        agent["browser_version"].alias("browser_version"),
-        agent["mobile"].alias("is_mobile"),
-        agent["platform"].alias("platform"),
-    ]
+def projected(rows: DataFrame, name: str, **computed: Column) -> DataFrame:
+    """The columns of a silver table in the contract's order, from their declared sources or as computed."""
+    sources = SILVER_SOURCES[name]
+    return rows.select(*[computed.get(c, F.col(sources.get(c, c))).alias(c) for c in SILVER[name].names])
 
 
 def _newest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Survivors among the landed rows, before any wide projection: flattening, text
     parsing and JSON building then run for survivors only. Ties fall to run and file,
-    which settle all other lineage, then to the payload."""
+    which settle all other lineage, then to a hash of the payload, so that sorts compare
+    one number instead of whole rows, and only equal hashes to the payload itself."""
     lineage = ("run_id", SOURCE, "ingested_at", "ingestion_date", "media_id_from_path")
     payload = [c for c in rows.columns if c not in (*keys, *lineage)]
-    return latest_by(rows, keys, order, ["run_id", SOURCE, *payload])
+    hashed = rows.withColumn("_payload_hash", F.xxhash64(*payload))
+    return latest_by(hashed, keys, order, ["run_id", SOURCE, "_payload_hash", *payload]).drop("_payload_hash")
 
 
 def silver_media(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """The most recently updated version of every media."""
-    versions = rows_of_runs(landed.drop(CORRUPT, "protected", "section"), runs).withColumn(
+    versions = rows_of_runs(readable(landed).drop("protected", "section"), runs).withColumn(
         "updated_at", iso_timestamp(F.col("updated"))
     )
     order = [F.desc_nulls_last("updated_at"), F.desc_nulls_last("ingested_at")]
-    return _newest(versions, ["media_id_from_path"], order).select(
-        F.col("media_id_from_path").alias("media_id"),
-        F.col("id").alias("numeric_id"),
-        "hashed_id",
-        F.col("name").alias("title"),
-        "description",
-        F.col("duration").alias("duration_seconds"),
-        F.col("type").alias("media_type"),
-        "status",
-        "archived",
-        "progress",
-        iso_timestamp(F.col("created")).alias("created_at"),
-        "updated_at",
-        F.col("folder.id").alias("folder_id"),
-        F.col("folder.hashed_id").alias("folder_hashed_id"),
-        F.col("folder.name").alias("folder_name"),
-        F.col("thumbnail.url").alias("thumbnail_url"),
-        F.col("thumbnail.width").alias("thumbnail_width"),
-        F.col("thumbnail.height").alias("thumbnail_height"),
-        asset_count(F.col("assets")).alias("asset_count"),
-        F.to_json("assets").alias("assets_json"),
-        "ingestion_date",
-        "run_id",
-        "ingested_at",
+    return projected(
+        _newest(versions, ["media_id_from_path"], order),
+        "media",
+        created_at=iso_timestamp(F.col("created")),
+        asset_count=asset_count(F.col("assets")),
+        assets_json=F.to_json("assets"),
     )
 
 
+def _per_run(name: str, landed: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row per media and run."""
+    return projected(_newest(rows_of_runs(readable(landed), runs), ["media_id_from_path", "run_id"], []), name)
+
+
 def silver_media_stats(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """One cumulative snapshot per media and run."""
-    rows = rows_of_runs(landed.drop(CORRUPT), runs)
-    return _newest(rows, ["media_id_from_path", "run_id"], []).select(
-        F.col("media_id_from_path").alias("media_id"),
-        "engagement",
-        "hours_watched",
-        "load_count",
-        "play_count",
-        "play_rate",
-        "visitors",
-        F.col("ingested_at").alias("snapshot_at"),
-        "ingestion_date",
-        "run_id",
-    )
+    return _per_run("media_stats", landed, runs)
 
 
 def silver_media_daily_stats(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """The value of every media and date seen last; overlaps collapse."""
-    rows = rows_of_runs(landed.drop(CORRUPT), runs).withColumn("stat_date", iso_date(F.col("date")))
+    rows = rows_of_runs(readable(landed), runs).withColumn("stat_date", iso_date(F.col("date")))
     latest = _newest(rows, ["media_id_from_path", "stat_date"], [F.desc_nulls_last("ingested_at")])
-    return latest.select(
-        F.col("media_id_from_path").alias("media_id"),
-        "stat_date",
-        "hours_watched",
-        "load_count",
-        "play_count",
-        "ingested_at",
-        "run_id",
-        F.year("stat_date").alias("stat_year"),
-        F.month("stat_date").alias("stat_month"),
-    )
+    day = F.col("stat_date")
+    return projected(latest, "media_daily_stats", stat_year=F.year(day), stat_month=F.month(day))
 
 
 def silver_engagement(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """One engagement curve per media and run, the arrays kept whole."""
-    rows = rows_of_runs(landed.drop(CORRUPT), runs)
-    return _newest(rows, ["media_id_from_path", "run_id"], []).select(
-        F.col("media_id_from_path").alias("media_id"),
-        "engagement",
-        "engagement_data",
-        "rewatch_data",
-        F.col("ingested_at").alias("snapshot_at"),
-        "ingestion_date",
-        "run_id",
-    )
+    return _per_run("engagement", landed, runs)
 
 
 def run_events(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """D1 for events: landed rows of successful runs, without the fields silver leaves out."""
-    return rows_of_runs(landed.drop(CORRUPT, "iframe_heatmap_url"), runs)
+    return rows_of_runs(readable(landed).drop("iframe_heatmap_url"), runs)
 
 
 def current_events(rows: DataFrame) -> DataFrame:
@@ -129,29 +86,8 @@ def current_events(rows: DataFrame) -> DataFrame:
 def flat_events(rows: DataFrame) -> DataFrame:
     """Landed events flattened; the path names the media where the payload does not."""
     received_at = iso_timestamp(F.col("received_at"))
-    return rows.select(
-        "event_key",
-        F.coalesce("media_id", "media_id_from_path").alias("media_id"),
-        "visitor_key",
-        received_at.alias("received_at"),
-        "percent_viewed",
-        "country",
-        "region",
-        "city",
-        "lat",
-        "lon",
-        F.col("ip").alias("ip_address"),
-        "email",
-        "org",
-        "embed_url",
-        "media_name",
-        "media_url",
-        "conversion_type",
-        *_agent_columns(),
-        "ingested_at",
-        "run_id",
-        F.to_date(received_at).alias("event_date"),
-    )
+    media_id = F.coalesce("media_id", "media_id_from_path")
+    return projected(rows, "events", media_id=media_id, received_at=received_at, event_date=F.to_date(received_at))
 
 
 def silver_events(landed: DataFrame, runs: DataFrame) -> DataFrame:
@@ -161,26 +97,24 @@ def silver_events(landed: DataFrame, runs: DataFrame) -> DataFrame:
 
 def silver_visitors(landed: DataFrame, runs: DataFrame) -> DataFrame:
     """C7, F1d: the most recently active version of every visitor."""
-    identity = F.col("visitor_identity")
-    profiles = rows_of_runs(landed.drop(CORRUPT), runs, media_in_path=False).withColumn(
+    profiles = rows_of_runs(readable(landed), runs, media_in_path=False).withColumn(
         "last_active_at", iso_timestamp(F.col("last_active_at"))
     )
     order = [F.desc_nulls_last("last_active_at"), F.desc_nulls_last("ingested_at")]
-    return _newest(profiles, ["visitor_key"], order).select(
-        "visitor_key",
-        iso_timestamp(F.col("created_at")).alias("created_at"),
-        "last_active_at",
-        "last_event_key",
-        "load_count",
-        "play_count",
-        identity["email"].alias("email"),
-        identity["name"].alias("visitor_name"),
-        identity["org"]["name"].alias("organization_name"),
-        identity["org"]["title"].alias("organization_title"),
-        *_agent_columns(),
-        "ingested_at",
-        "run_id",
-    )
+    newest = _newest(profiles, ["visitor_key"], order)
+    return projected(newest, "visitors", created_at=iso_timestamp(F.col("created_at")))
+
+
+def quarantine(read: Callable[[str], DataFrame], runs: DataFrame) -> DataFrame:
+    """Files of successful runs that do not parse: dataset, run, file and text.
+
+    They take no part in silver, so a broken file never beats a good one.
+    """
+    found = []
+    for name in SILVER_PLANS:
+        rows = rows_of_runs(quarantined(read(name)), runs, media_in_path=False)
+        found.append(rows.select(F.lit(name).alias("dataset"), "run_id", "ingestion_date", SOURCE, CORRUPT))
+    return reduce(DataFrame.unionByName, found)
 
 
 SILVER_PLANS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {

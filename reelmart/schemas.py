@@ -47,6 +47,7 @@ AUDIT = f"""
         pages_fetched:bigint,records_fetched:bigint,bronze_object_count:bigint,status:string>>,
     candidate_watermark struct<events:{WATERMARK_MAP},run_id:string,created_at:string>,
     successful_bronze_runs_processed bigint, bronze_run_ids array<string>,
+    gold_run_id string, audit_keys array<string>, committed_media bigint,
     row_counts map<string,bigint>, note string, error_type string, error_message string"""
 
 CONTROL = f"events {WATERMARK_MAP}, last_pipeline_run_id string, updated_at string"
@@ -122,6 +123,33 @@ SILVER = {
     ),
 }
 
+# Fixed names: where a silver column comes from in a landed row, if not from a field of its
+# own name. What is computed stands in plans.silver.
+AGENT_SOURCES = {
+    "browser": "user_agent_details.browser",
+    "browser_version": "user_agent_details.browser_version",
+    "is_mobile": "user_agent_details.mobile",
+    "platform": "user_agent_details.platform",
+}
+
+SILVER_SOURCES = {
+    "media": {
+        "media_id": "media_id_from_path", "numeric_id": "id", "title": "name", "duration_seconds": "duration",
+        "media_type": "type", "folder_id": "folder.id", "folder_hashed_id": "folder.hashed_id",
+        "folder_name": "folder.name", "thumbnail_url": "thumbnail.url", "thumbnail_width": "thumbnail.width",
+        "thumbnail_height": "thumbnail.height",
+    },
+    "media_stats": {"media_id": "media_id_from_path", "snapshot_at": "ingested_at"},
+    "media_daily_stats": {"media_id": "media_id_from_path"},
+    "engagement": {"media_id": "media_id_from_path", "snapshot_at": "ingested_at"},
+    "events": {"ip_address": "ip", **AGENT_SOURCES},
+    "visitors": {
+        "email": "visitor_identity.email", "visitor_name": "visitor_identity.name",
+        "organization_name": "visitor_identity.org.name", "organization_title": "visitor_identity.org.title",
+        **AGENT_SOURCES,
+    },
+}
+
 GOLD = {
     "dim_media": Contract(
         """media_id string, numeric_id bigint, hashed_id string, title string, description string,

@@ -80,7 +80,9 @@ def read_audits(spark: SparkSession, path: str) -> DataFrame:
     rows = (
         spark.read.schema(AUDIT).option("multiLine", True).option("recursiveFileLookup", True).json(path)
     )
-    return rows.withColumn("_modified_at", F.col("_metadata.file_modification_time"))
+    return rows.withColumns(
+        {"_modified_at": F.col("_metadata.file_modification_time"), "_audit_file": F.col("_metadata.file_path")}
+    )
 
 
 def successful_runs(audits: DataFrame) -> DataFrame:

@@ -303,8 +303,16 @@ ORACLES = {
     "snapshot_per_run": """
         SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL""",
     "latest_event_per_visitor": """
-        SELECT visitor_key, max(received_at) AS received_at FROM silver_events
-        WHERE visitor_key IS NOT NULL GROUP BY visitor_key""",
+        SELECT visitor_key, last_event_at AS received_at, last_ip_address AS ip_address, last_country AS country,
+               last_region AS region, last_city AS city FROM last_seen""",
+    "required_runs": "SELECT run_id FROM runs",
+    "missing_visitors": """
+        SELECT 'events' AS dataset, count(*) AS landed_rows FROM ev JOIN customer ON user_id = c_custkey
+        UNION ALL SELECT 'visitors', 0""",
+    "quarantined_files": """
+        SELECT media_id, 'run-20240131' AS run_id, '{"load_count":' || views || ',"play_count":' || clicks AS body
+        FROM (SELECT media_id, CAST(sum(views) AS BIGINT) AS views, CAST(sum(clicks) AS BIGINT) AS clicks
+              FROM media_days GROUP BY media_id) WHERE views % 2 = 1""",
     "overlap_idempotence": "SELECT * FROM silver_events",
     "stream_append_events": "SELECT * FROM stream_events",
     "stream_merge_events": "SELECT * FROM stream_events",

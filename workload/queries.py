@@ -19,7 +19,9 @@ from reelmart.sinks import tables
 from reelmart.sinks.records import utc_now
 from reelmart.sources import control
 from reelmart.sources.control import read_watermark_log
-from reelmart.sources.landing import landed_objects, lineage, read_landed, rows_of_runs, successful_runs
+from reelmart.sources.landing import (
+    CORRUPT, landed_objects, lineage, quarantined, read_landed, require_runs, rows_of_runs, successful_runs,
+)
 from reelmart.streaming import ingest
 from workload import testbed
 
@@ -224,7 +226,33 @@ def snapshot_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_event_per_visitor(events(spark, sf_dir)).select("visitor_key", "received_at")
+    """The whole row of the newest event, so that ties show."""
+    columns = ["visitor_key", "received_at", "ip_address", "country", "region", "city"]
+    return latest_event_per_visitor(events(spark, sf_dir).select(*columns))
+
+
+def required_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return require_runs(testbed.runs(spark, sf_dir)).select("run_id")
+
+
+def missing_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per dataset of a landing without a visitors folder, which counts as an empty one."""
+    base = land_engagement(spark, sf_dir)
+    counts = [read_landed(spark, base, name, optional=True).agg(
+        F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("landed_rows")) for name in ("events", "visitors")]
+    return counts[0].unionByName(counts[1])
+
+
+def quarantined_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all media, landed broken off where the number of views is odd."""
+    days = testbed.media_days(spark, sf_dir)
+    totals = days.groupBy("media_id").agg(F.sum("views").alias("views"), F.sum("clicks").alias("clicks"))
+    text = F.concat(F.lit('{"load_count":'), "views", F.lit(',"play_count":'), "clicks")
+    body = F.when(F.col("views") % 2 == 0, F.concat(text, F.lit("}"))).otherwise(text)
+    base = scratch_path(spark, "landing")
+    landing_sink.land_documents(totals.select("media_id", body.alias("body")), base, "media_stats", RUN_DATE, RUN_ID)
+    broken = rows_of_runs(quarantined(read_landed(spark, base, "media_stats")), testbed.runs(spark, sf_dir))
+    return broken.select(F.col("media_id_from_path").alias("media_id"), "run_id", F.rtrim(F.translate(CORRUPT, "\n", " ")).alias("body"))
 
 
 def overlap_idempotence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,6 +517,9 @@ QUERIES: dict[str, Query] = {
     "dim_media": dim_media,
     "dim_visitor": partial(gold_table, "dim_visitor"),
     "dim_visitor_from_events": lambda s, d: gold.dim_visitor_from_events(events(s, d)),
+    "required_runs": required_runs,
+    "missing_visitors": missing_visitors,
+    "quarantined_files": quarantined_files,
     "dim_date": partial(gold_table, "dim_date"),
     "event_daily": lambda s, d: gold.event_daily(events(s, d)),
     "fact_engagement_event": fact_event,
