@@ -31,7 +31,8 @@ from reelmart.session import cut_lineage
 
 BITS = 1024  # of a bitmap
 TILE_BLOCK = 512  # members of a large tile compared with as many others at once
-BAND_GROWTH = 1.4  # upper over lower end of a band
+TAG = (1 << 48) - 1  # bits kept of names that are shuffled in numbers
+BAND_GROWTH = 1.5  # upper over lower end of a band
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
@@ -140,9 +141,9 @@ def text_hash() -> Column:
 
 
 def signatures(docs: DataFrame, law: Law) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, digest_a, digest_b, bitmap, keys`` of each row."""
+    """``doc_id, text_hash, n_shingles, digest_a, digest_b, bitmap`` of each row."""
     source = docs.select("doc_id", "text", text_hash())
-    schema = f"doc_id {dict(source.dtypes)['doc_id']}, text_hash long, n_shingles long, digest_a long, digest_b long, bitmap array<long>, keys array<long>"
+    schema = f"doc_id {dict(source.dtypes)['doc_id']}, text_hash long, n_shingles long, digest_a long, digest_b long, bitmap array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -151,22 +152,60 @@ def signatures(docs: DataFrame, law: Law) -> DataFrame:
                 part = batch.slice(at, 1000)
                 sets = [shingle_set(t.as_py(), law.words, known) for t in part.column(1)]
                 digests = [digest(s) for s in sets]
-                yield pa.record_batch(
-                    [
-                        part.column(0),
-                        part.column(2),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([d[0] for d in digests], pa.int64()),
-                        pa.array([d[1] for d in digests], pa.int64()),
-                        pa.array([parity_bitmap(s) for s in sets], pa.list_(pa.int64())),
-                        pa.array([law.keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "text_hash", "n_shingles", "digest_a", "digest_b", "bitmap", "keys"],
-                )
+                columns = [
+                    part.column(0),
+                    part.column(2),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([d[0] for d in digests], pa.int64()),
+                    pa.array([d[1] for d in digests], pa.int64()),
+                    pa.array([parity_bitmap(s) for s in sets], pa.list_(pa.int64())),
+                ]
+                yield pa.record_batch(columns, ["doc_id", "text_hash", "n_shingles", "digest_a", "digest_b", "bitmap"])
 
     return source.mapInArrow(run, schema)
 
 
+def tile_slots(docs: DataFrame, law: Law) -> DataFrame:
+    """``key, tag``: the tiles of each set, which its tag names. Each task names a set once.
+
+    Sets are made again from the texts: cheaper than to keep the keys, a fifth to two fifths
+    as many as shingles, on disk. Both columns are cut to 48 bits to shuffle less; two keys
+    that fall together only add candidates.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = word_hashes(), set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                tags, keys = [], []
+                for text in batch.column(0).slice(at, 1000):
+                    shingles = shingle_set(text.as_py(), law.words, known)
+                    name = digest(shingles)
+                    if len(shingles) and name not in seen:
+                        seen.add(name)
+                        tags.append(name[0] & TAG)
+                        keys.append(law.keys(shingles) & TAG)
+                yield pa.record_batch([pa.array(tags, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["tag", "keys"])
+
+    return docs.select("text").mapInArrow(run, "tag long, keys array<long>").select(F.explode("keys").alias("key"), "tag")
+
+
+def possibly_in(df: DataFrame, column: Column, wanted: DataFrame, wanted_column: Column) -> DataFrame:
+    """``df`` with ``_perhaps``: false only if the row's value is not among those of ``wanted``.
+
+    A bit table of the values' hashes is broadcast. It has eight bits per value, up to 2^26
+    bits in all, so it is 16 MB at most; beyond that it says "perhaps" more often.
+    """
+    size = 1 << max(10, min(26, (8 * wanted.count()).bit_length()))
+    place = lambda value: F.pmod(F.xxhash64(value), F.lit(size))
+    bits = wanted.select(place(wanted_column).alias("_bit")).groupBy(F.shiftright("_bit", 5).alias("_word"))
+    table = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 32 as int))")).alias("_bits"))
+    marked = df.withColumn("_bit", place(column)).withColumn("_word", F.shiftright("_bit", 5))
+    found = marked.join(F.broadcast(table), "_word", "left")
+    test = F.coalesce(F.expr("(shiftright(_bits, cast(_bit % 32 as int)) & 1) = 1"), F.lit(False))
+    return found.withColumn("_perhaps", test).drop("_word", "_bit", "_bits")
+
+
 def digest(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits that name a set."""
     value = xxhash.xxh3_128_digest(shingles.tobytes())
@@ -179,7 +218,8 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, law: Law) -> DataFrame:
     ``wanted`` has ``cid, doc_id, digest_a, digest_b``; of rows that share an id only one
     with the right digest counts.
     """
-    source = null_safe(docs.select("doc_id", "text"), wanted, ["doc_id"])
+    few = possibly_in(docs.select("doc_id", "text"), F.col("doc_id"), wanted, F.col("doc_id")).filter("_perhaps").drop("_perhaps")
+    source = null_safe(few, wanted, ["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -280,20 +320,28 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     The one with the least id stays (NULL ids first). Rows without a word are no copies of
     each other and all stay. All columns are kept.
     """
-    groups = grouped_documents(docs, words, percent)
-    first = groups.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    groups = cut_lineage(grouped_documents(docs, words, percent).filter("root IS NOT NULL").drop("n_shingles", "component_id"), "groups")
+    names = ["doc_id", "text_hash"]
+    first = groups.groupBy("root").agg(F.min(F.struct(*names)).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    # Every row of a group of several is looked at; all others stay without being moved.
+    several = groups.join(first, "root").select(*names, (F.struct(*names) == F.col("first")).alias("stays")).distinct()
+    several = cut_lineage(several, "several")
     mark, stays = fresh(docs, "_hash"), fresh(docs, "_stays")
-    wordless = ~F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    chosen = first.withColumnRenamed("text_hash", mark).withColumn(stays, F.lit(True))
-    stay = null_safe(docs.withColumn(mark, text_hash()).filter(~wordless), chosen, ["doc_id", mark])
-    return stay.drop(stays).dropDuplicates(["doc_id", mark]).drop(mark).unionByName(docs.filter(wordless))
+    split = possibly_in(docs.withColumn(mark, text_hash()), F.struct("doc_id", mark), several, F.struct(*names))
+    alone = split.filter("NOT _perhaps")
+    judged = null_safe(
+        split.filter("_perhaps"), several.withColumnsRenamed({"text_hash": mark, "stays": stays}), ["doc_id", mark], "left"
+    )
+    single = judged.filter(F.col(stays).isNull()).drop(stays)
+    chosen = judged.filter(F.col(stays)).drop(stays).dropDuplicates(["doc_id", mark])
+    return alone.unionByName(single).unionByName(chosen).drop(mark, "_perhaps")
 
 
 def mixed_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (key, cid, size) of tiles that hold several components, with their ``root``."""
+    """Members (key, cid) of tiles that hold several components, with ``root`` and the tile's ``size``."""
     rooted = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return rooted.join(mixed.select("key"), "key", "left_semi")
+    tiles = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+    return rooted.join(tiles.filter("low <> high AND size > 2").select("key", "size"), "key")
 
 
 def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -302,12 +350,15 @@ def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     signed = cut_lineage(signatures(docs, law), "signatures")
     digests = ["digest_a", "digest_b", "n_shingles"]
     filled = signed.filter("n_shingles > 0")
-    classes = filled.groupBy(*digests).agg(F.min("doc_id").alias("doc_id"), F.any_value("bitmap").alias("bitmap"), F.any_value("keys").alias("keys"))
-    classes = cut_lineage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    slots = classes.select("cid", F.explode("keys").alias("key"))
-    least = F.min("cid").over(Window.partitionBy("key").orderBy("cid"))
+    classes = filled.groupBy(*digests).agg(F.min("doc_id").alias("doc_id"), F.any_value("bitmap").alias("bitmap"))
+    classes = classes.withColumns({"cid": F.monotonically_increasing_id(), "tag": F.col("digest_a").bitwiseAND(F.lit(TAG))})
+    classes = cut_lineage(classes, "classes")
+    least = F.min("tag").over(Window.partitionBy("key").orderBy("tag"))
     # Sorted by key, the least member comes first: rows stream by, no tile is gathered.
-    stars = cut_lineage(slots.withColumn("first", least).filter("cid <> first"), "stars")
+    stars = cut_lineage(tile_slots(docs, law).withColumn("first", least).filter("tag <> first").distinct(), "stars")
+    named = lambda name: classes.select(F.col("tag").alias(f"{name}_tag"), F.col("cid").alias(name))
+    spokes = stars.select(F.col("first").alias("a_tag"), F.col("tag").alias("b_tag")).distinct()
+    spokes = cut_lineage(spokes.join(named("a"), "a_tag").join(named("b"), "b_tag"), "spokes")
     ids = classes.select("cid", "doc_id", "digest_a", "digest_b")
     tested: list[DataFrame] = []
     sets: list[DataFrame] = []
@@ -324,15 +375,20 @@ def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
         sets.append(cut_lineage(candidate_sets(docs, wanted.join(ids, "cid"), law), "sets"))
         return cut_lineage(verified(possible, reduce(DataFrame.unionByName, sets), law), "links")
 
-    links = confirmed(stars.select(F.col("first").alias("a"), F.col("cid").alias("b")))
+    links = confirmed(spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     roots = components(links, "a", "b")
-    members = stars.select("key", "cid").unionByName(stars.select("key", F.col("first").alias("cid")).distinct())
-    sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 2")
-    members = cut_lineage(members.join(sizes, "key"), "members")
+    rooted = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    apart = spokes.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left")
+    apart = apart.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select(F.col("a_tag").alias("first"), F.col("b_tag").alias("tag"))
+    open_keys = stars.join(apart, ["first", "tag"], "left_semi").select("key").distinct()
+    inside = stars.join(open_keys, "key", "left_semi")
+    members = inside.select("key", "tag").union(inside.select("key", "first")).distinct()
+    members = cut_lineage(members.join(classes.select("tag", "cid"), "tag").drop("tag"), "members")
 
     # Copies of one text may each be close to it and not to each other. The text itself shares most with the others.
-    shared = members.groupBy("cid").agg(F.sum("size").alias("shared"))
-    inside = cut_lineage(mixed_tiles(members, roots).join(shared, "cid"), "mixed")
+    inside = mixed_tiles(members, roots)
+    shared = inside.groupBy("cid").agg(F.sum("size").alias("shared"))
+    inside = cut_lineage(inside.join(shared, "cid"), "mixed")
     middle = inside.groupBy("key").agg(F.max(F.struct("shared", "cid", "root")).alias("middle"))
     around = inside.join(middle, "key").filter("root <> middle.root")
     more = confirmed(around.select(F.least("cid", "middle.cid").alias("a"), F.greatest("cid", "middle.cid").alias("b")))
