@@ -25,7 +25,7 @@ EMBEDDINGS = """
 WITH RECURSIVE fit AS (
     SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
     SELECT a.r AS a, b.r AS b FROM fit a JOIN fit b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
     WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
@@ -37,11 +37,32 @@ found AS (
 rest AS (
     SELECT vec_id, 0 AS n_links, vec_id AS component_id FROM embeddings
     WHERE NOT coalesce(label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0, false))
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false))
 SELECT vec_id, n_links, component_id, coalesce(vec_id = component_id, false) AS kept
 FROM (SELECT vec_id, n_links, component_id FROM found UNION ALL SELECT * FROM rest)
 """
 
 
+# Shingles are lists of three words; a text of fewer words is one list of them all.
+JACCARD = """
+WITH RECURSIVE worded AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+sets AS (
+    SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [words]
+        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i : i + 2])) END AS shingles FROM worded),
+sized AS (SELECT r, doc_id, len(shingles) AS n FROM sets),
+single AS (SELECT r, unnest(shingles) AS shingle FROM sets),
+together AS (
+    SELECT x.r AS a, y.r AS b, count(*) AS shared FROM single x JOIN single y ON x.shingle = y.shingle AND x.r <> y.r GROUP BY ALL),
+links AS (
+    SELECT a, b FROM together JOIN sized p ON p.r = a JOIN sized q ON q.r = b WHERE 100 * shared >= 90 * (p.n + q.n - shared)),
+reach AS (SELECT r AS a, r AS b FROM sized UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS r, min(sized.doc_id) AS component_id FROM reach JOIN sized ON sized.r = reach.b GROUP BY ALL)
+SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM sized JOIN least USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op2_pstable_embedding_dedup": EMBEDDINGS}
+    return {"op1_chat_formatting": CHAT, "op2_pstable_embedding_dedup": EMBEDDINGS, "op3_ngram_jaccard_join": JACCARD}
