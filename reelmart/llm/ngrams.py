@@ -29,7 +29,7 @@ from reelmart.llm.common import BoundedCache, fresh, null_safe, spread_blocks, w
 from reelmart.llm.components import components
 from reelmart.session import cut_lineage
 
-BITS = 1024  # of a bitmap
+LEAST_BITS = 256  # of a bitmap
 TILE_BLOCK = 512  # members of a large tile compared with as many others at once
 TAG = (1 << 48) - 1  # bits kept of names that are shuffled in numbers
 BAND_GROWTH = 1.5  # upper over lower end of a band
@@ -130,11 +130,24 @@ def shingle_set(text: str | None, words: int, known: BoundedCache) -> np.ndarray
 
 
 def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Bit b tells whether an odd number of shingles hash to b; as 64-bit words."""
-    odd = np.bincount((shingles >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
+    """Bit b tells whether an odd number of shingles hash to b; as 64-bit words.
+
+    Between two and four bits per shingle, a power of two, so that the bound stays tight for
+    long texts. Halves laid over each other by exclusive or give the bitmap of half the width.
+    """
+    width = max(LEAST_BITS, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else LEAST_BITS
+    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap at a smaller width; the lower bits of a hash name its place at any width."""
+    while len(bitmap) > words:
+        half = len(bitmap) // 2
+        bitmap = bitmap[:half] ^ bitmap[half:]
+    return bitmap
+
+
 def text_hash() -> Column:
     """Tells rows with the same id apart."""
     return F.xxhash64("text").alias("text_hash")
@@ -255,8 +268,15 @@ def verified(pairs: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
 
 
 def overlap_bound(left: str, right: str) -> Column:
-    """Largest possible intersection by the bitmaps: bits that differ are shingles of one side only."""
-    differing = F.aggregate(F.zip_with(f"{left}_bitmap", f"{right}_bitmap", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    """Largest possible intersection by the bitmaps: bits that differ are shingles of one side only.
+
+    Of two widths the wider one is folded once; sizes that fit never differ by more.
+    """
+    x, y = F.col(f"{left}_bitmap"), F.col(f"{right}_bitmap")
+    words = F.least(F.size(x), F.size(y))
+    at = lambda bits, i: F.when(F.size(bits) > words, F.get(bits, i).bitwiseXOR(F.get(bits, i + words))).otherwise(F.get(bits, i))
+    count = lambda s, i: s + F.bit_count(at(x, i).bitwiseXOR(at(y, i)))
+    differing = F.aggregate(F.sequence(F.lit(0), words - 1), F.lit(0), count)
     both = F.least(f"{left}_n", f"{right}_n")
     return F.least(both, F.floor((F.col(f"{left}_n") + F.col(f"{right}_n") - differing) / 2))
 
@@ -264,17 +284,24 @@ def overlap_bound(left: str, right: str) -> Column:
 def bounded(pairs: DataFrame, classes: DataFrame, law: Law) -> DataFrame:
     """Those of ``pairs`` (a, b) that sizes and bitmaps leave possible."""
     side = lambda name: classes.select(F.col("cid").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("bitmap").alias(f"{name}_bitmap"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    sizes = classes.select("cid", F.col("n_shingles").alias("n"))
+    sized = pairs.join(sizes.withColumnsRenamed({"cid": "a", "n": "an"}), "a").join(sizes.withColumnsRenamed({"cid": "b", "n": "bn"}), "b")
+    # Sizes alone rule out most of what cannot fit, before any bitmap is moved.
+    sized = sized.filter(law.enough(F.least("an", "bn"), F.col("an") + F.col("bn"))).select("a", "b")
+    joined = sized.join(side("a"), "a").join(side("b"), "b")
     return joined.filter(law.enough(overlap_bound("a", "b"), F.col("a_n") + F.col("b_n"))).select("a", "b")
 
 
 def tile_survivors(columns: dict[str, np.ndarray], start: int, stop: int, law: Law) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one tile in different components that sizes and bitmaps leave possible."""
     own = slice(start, stop)
-    cid, size, bitmap, root, side = (columns[c][own] for c in ("cid", "n_shingles", "bitmap", "root", "_side"))
+    cid, size, root, side = (columns[c][own] for c in ("cid", "n_shingles", "root", "_side"))
+    maps = columns["bitmap"][start:stop]
+    words = min(len(m) for m in maps)
+    bitmap = np.array([folded(m, words) for m in maps])
     total = size[:, None] + size[None, :]
     differing = np.zeros((len(cid), len(cid)), np.int64)
-    for word in range(bitmap.shape[1]):
+    for word in range(words):
         differing += np.bitwise_count(bitmap[:, None, word] ^ bitmap[None, :, word])
     shared = np.minimum(np.minimum(size[:, None], size[None, :]), (total - differing) // 2)
     possible = law.enough(shared, total) & (root[:, None] != root[None, :]) & (cid[:, None] < cid[None, :])
@@ -293,7 +320,10 @@ def cross_component_pairs(members: DataFrame, classes: DataFrame, law: Law, bloc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, borders in whole_groups(batches, len(order)):
             columns = {c: rows.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in rows.schema.names if c != "bitmap"}
-            columns["bitmap"] = rows.column("bitmap").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+            maps = rows.column("bitmap").combine_chunks()
+            cuts = np.concatenate([[0], np.cumsum(maps.value_lengths().to_numpy())])
+            flat = maps.flatten().to_numpy()
+            columns["bitmap"] = [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
             for start, stop in zip(borders[:-1].tolist(), borders[1:].tolist()):
                 if stop - start > 1:
                     a, b = tile_survivors(columns, start, stop, law)
