@@ -109,7 +109,7 @@ class Law:
 
 
 def word_hashes() -> BoundedCache:
-    return worker_once("word hashes", lambda: BoundedCache(xxhash.xxh3_64_intdigest))
+    return worker_once("word hashes", lambda: BoundedCache(xxhash.xxh3_64_intdigest, 150_000))
 
 
 def shingle_set(text: str | None, words: int, known: BoundedCache) -> np.ndarray:
