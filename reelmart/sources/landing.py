@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,21 +43,41 @@ def read_landed(
 ) -> DataFrame:
     """Typed scan of one dataset, an array file giving one row per element.
 
-    ``ingestion_dates`` restricts the folders that are listed at all. A missing
-    optional dataset (A9) gives an empty DataFrame of the same schema.
+    ``ingestion_dates`` restricts the folders that are listed at all; a date without a folder
+    has no rows. A missing optional dataset (A9) gives an empty DataFrame of the same schema.
     """
-    root = f"{base.rstrip('/')}/{dataset}"
-    paths = [f"{root}/ingestion_date={d}" for d in ingestion_dates] if ingestion_dates else [root]
     schema = PAYLOADS[dataset]
-    try:
-        rows = _reader(spark, schema).json(paths)
-    except AnalysisException as error:
-        if not optional or error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    rows = _scanned(_reader(spark, schema).json, f"{base.rstrip('/')}/{dataset}", ingestion_dates, optional)
+    if rows is None:
         return spark.createDataFrame([], f"{schema}, {CORRUPT} string, {SOURCE} string")
     return rows.withColumn(SOURCE, F.col("_metadata.file_path"))
 
 
+def _scanned(
+    load: Callable[[str], DataFrame], root: str, ingestion_dates: list[str] | None, optional: bool = False
+) -> DataFrame | None:
+    """The scan of a dataset's folder, or of those date folders of it that exist; None if there is nothing to scan.
+
+    Of a list of paths none may be missing, a pattern takes what there is. Only a dataset
+    without its own folder is missing, which is an error unless it is optional.
+    """
+
+    def found(path: str) -> DataFrame | None:
+        try:
+            return load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(error)
+            return None
+
+    missing: list[AnalysisException] = []
+    rows = found(f"{root}/ingestion_date={{{','.join(ingestion_dates)}}}" if ingestion_dates else root)
+    if rows is None and (not ingestion_dates or found(root) is None) and not optional:
+        raise missing[-1]
+    return rows
+
+
 def is_broken(landed: DataFrame) -> Column:
     """Whether a landed row stands for a file that does not parse.
 
@@ -142,12 +164,9 @@ def landed_objects(spark: SparkSession, base: str, dataset: str, ingestion_dates
     as an empty last page, are only known from it. Both scans name files alike. A file
     that does not parse has no records and counts as broken.
     """
-    root = f"{base.rstrip('/')}/{dataset}"
-    paths = [f"{root}/ingestion_date={d}" for d in ingestion_dates] if ingestion_dates else [root]
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        .select(F.col("_metadata.file_path").alias(SOURCE))
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    scan = _scanned(reader.load, f"{base.rstrip('/')}/{dataset}", ingestion_dates)
+    files = scan.select(F.col("_metadata.file_path").alias(SOURCE)) if scan is not None else spark.createDataFrame([], f"{SOURCE} string")
     landed = read_landed(spark, base, dataset, ingestion_dates)
     broken = is_broken(landed)
     counted = landed.groupBy(SOURCE).agg(F.count_if(~broken).alias("records"), F.max(broken).alias("broken"))
