@@ -26,7 +26,8 @@ from reelmart.llm import crf
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|textarea|iframe|select)\b.*?(?:</\1\s*>|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"'/]++|/(?!>)|\"[^\"]*+\"|'[^']*+')*+/>"
+    r"|<(script|style|noscript|template|svg|textarea|iframe|select)(?=[\s/>]).*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
@@ -42,6 +43,7 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 GROUPS = (
     ("article main", "article content main post entry story text body"),
     ("nav menu", "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar tabs"),
@@ -87,7 +89,8 @@ def leaf_blocks(page: str) -> list[Block]:
     """Blocks in page order: whitespace-normalised, with character references decoded, none empty.
 
     Unclosed and crossing tags are closed by what follows, a tag cut off at the end is
-    dropped, script, style and the like are skipped with their contents, so is the head.
+    dropped, script, style and the like are skipped with their contents, so is the head. The
+    head ends at the first tag or text that cannot stand in it.
     """
     stack: list[tuple[str, int]] = []
     blocks: list[Block] = []
@@ -105,6 +108,12 @@ def leaf_blocks(page: str) -> list[Block]:
                 blocks.append(Block(text, block_flags, min(linked, len(text))))
         linked = 0
 
+    def leave_head() -> None:
+        nonlocal flags
+        if stack and stack[-1][0] == "head":
+            stack.pop()
+            flags = stack[-1][1] if stack else 0
+
     def add(text: str) -> None:
         nonlocal linked, block_flags
         if not text:
@@ -113,6 +122,8 @@ def leaf_blocks(page: str) -> list[Block]:
             if parts:
                 parts.append(text)
             return
+        if flags & HEAD:
+            leave_head()
         if not parts or block_flags & LINK:
             block_flags = flags  # the block stands where its first text outside a link does
         parts.append(text)
@@ -138,6 +149,8 @@ def leaf_blocks(page: str) -> list[Block]:
                     break
             flags = stack[-1][1] if stack else 0
             continue
+        if flags & HEAD and tag not in IN_HEAD:
+            leave_head()
         if tag in VOID or attributes.endswith("/"):
             continue
         if not inline:

@@ -188,6 +188,22 @@ def test_blocks():
     assert texts("<p>" * 3000 + "deep") == ["deep"]
 
 
+def test_blocks_after_elements_that_only_look_skipped():
+    texts = lambda page: [b.text for b in html.leaf_blocks(page)]
+    assert texts("<p>a</p><svg-icon name=x></svg-icon><p>b</p>") == ["a", "b"]
+    assert texts("<template-part><p>a</p></template-part><select-box>b</select-box><p>c") == ["a", "b", "c"]
+    assert texts("<p>a<svg class='x>y' d=\"/>\" />b</p><svg/><p>c</p>") == ["ab", "c"]
+    assert texts("<p>a</p><svg viewBox='0'><path d='M0'/><text>b</text></svg ><p>c<select><option>d</select>") == ["a", "c"]
+
+
+def test_blocks_of_pages_that_leave_out_the_end_of_the_head():
+    texts = lambda page: [b.text for b in html.leaf_blocks(page)]
+    assert texts("<html><head><meta charset=x><title>t <b>u</b></title><link rel=y><p>a<p>b") == ["a", "b"]
+    assert texts("<head><title>t</title>\n<style>s</style>a <b>c</b><div>d</div>") == ["a c", "d"]
+    assert texts("<head><title>t</title><img src=x>a") == texts("<head><title>t</title><my-part/>a") == ["a"]
+    assert texts("<head><title>t</title></head><body><p>a") == texts("<head><title>t<body><p>a") == ["a"]
+
+
 def test_article_of_labelled_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     model = html.fitted_blocks(pages, sample=20)
