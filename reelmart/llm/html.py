@@ -258,11 +258,15 @@ def training_pages(page_id: int | None, page: str, length: int) -> list[tuple[np
 
 
 def fitted_blocks(pages: DataFrame, sample: int = 150, length: int = 60) -> crf.Chain:
-    """The block model, fitted on at most ``sample`` pages, ``length`` blocks of each layout.
+    """The block model, fitted on at most ``sample`` pages that name their article, ``length`` blocks of each layout.
 
-    If no page of the sample names its article, no block is marked.
+    Copies of a page count once. If no page names its article, no block is marked.
     """
-    chosen = pages.select("page_id", "html").filter("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    place = F.xxhash64("html")
+    # As truthful() tests it.
+    places = pages.filter(F.rlike("html", F.lit(r"(?i)<(article|main)\b"))).select(place.alias("place")).distinct().orderBy("place").limit(sample)
+    drawn = pages.select("page_id", "html").filter(place.isin([r["place"] for r in places.collect()]))
+    chosen = drawn.groupBy("html").agg(F.min("page_id").alias("page_id")).select("page_id", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

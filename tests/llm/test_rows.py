@@ -219,6 +219,18 @@ def test_article_of_labelled_pages(spark, sf_dir):
     assert html.extracted(frame, html.fitted_blocks(frame.limit(0))).agg({"n_chars": "sum"}).first()[0] == 0
 
 
+def test_training_pages_are_drawn_from_those_that_name_an_article(spark):
+    text = "".join(f"<p>Sentence {k} of a long story, with commas, told at length to the very end of it.</p>" for k in range(3))
+    named = [(k, "u", f"<body><nav><a href=x>Home</a></nav><article><h1>Story {k}</h1>{text}</article><footer>&copy; {k}</footer></body>") for k in range(8)]
+    plain = [(100 + k, "u", f"<body><div>{k}</div></body>") for k in range(300)] + [(None, "u", "<body><p>same</p></body>")] * 300
+    copies = [(None, "u", named[0][2])] * 300
+    frame = spark.createDataFrame(plain + copies + named, "page_id long, url string, html string")
+    model = html.fitted_blocks(frame, sample=8)
+    got = html.extracted(frame.filter("page_id < 8"), model).collect()
+    assert len(got) == 8 and all("Sentence 2 of a long story" in r.text and "Home" not in r.text for r in got)
+    assert np.allclose(html.fitted_blocks(frame.filter("page_id < 8"), sample=8).weights, model.weights)
+
+
 # 8 sharding
 
 
