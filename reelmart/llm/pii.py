@@ -53,6 +53,38 @@ GENERATORS = (
 )
 # Words that speak for a kind when they stand before a span; fixed values.
 CUES = r"(?i)tel|phone|call|fax|mobile|card|visa|pay|account|mail|contact|host|server|addr"
+PHONE_CUES = r"(?i)(?<![\p{L}])(?:t[eé]l|phone|call|fax|mobil|cell|contact|dial|ring|appel|llam|anruf|handy)"
+OTHER_CUES = r"(?i)order|invoice|part|item|serial|version|isbn|ref|lot|batch|model|sign|id\s*[:=#]"
+# What stands before examples that trees learn from: before personal data, some of it without a cue, and before other
+# numbers, some of them with one; fixed values.
+PLACES = {
+    "email": ("mail: ", "contact ", "write to ", "mail me: ", "e-mail "),
+    "card": ("card ", "visa: ", "pay with ", "card no. ", "account ", "charged to "),
+    "phone": (
+        "tel ", "tel. ", "Tel.: ", "phone: ", "Phone ", "call ", "call me at ", "please call ", "fax ", "Fax: ", "mobile ", "cell: ",
+        "contact: ", "dial ", "Telefon ", "téléphone : ", "Handy ", "reach us on ",
+    ),
+}
+OTHER_PLACES = (
+    "order ", "order no. ", "invoice ", "part ", "item ", "serial ", "version ", "ISBN ", "ref. ", "lot ", "batch ", "id=", "id: ", "the ",
+    "of ", "about ", "from ", "und ", "= ", "", "phone model ", "call sign ",
+)
+
+
+def check_digit(number: str) -> str:
+    """The digit that makes ``number`` pass the check of cards."""
+    return str(-sum(sum(divmod(2 * int(c), 10)) if k % 2 == 0 else int(c) for k, c in enumerate(reversed(number))) % 10)
+
+
+# Spans that examples are made of besides those of the table, so that a table without any has both labels; fixed values.
+SEEDS = {
+    "email": [f"{'abcdefgh'[k % 8]}{('', '.b', f'_x{7 * k}')[k % 3]}@{('c.org', f'host{k}.example.com', 'd-e.net', f'm{k}.de')[k % 4]}" for k in range(60)],
+    "card": [n + check_digit(n) for n in (str(4_000_000_000_000_000 + 317_351_842_719 * k)[: 15 - k % 2 * (k % 4 == 1)] for k in range(1, 61))],
+    "phone": [
+        (f"+1 ({201 + 13 * k}) 555-{1007 + 149 * k}", f"+49 {30 + k} {1234 + 97 * k} {5678 + 53 * k}", f"+1-{203 + 11 * k}-{301 + 7 * k}-{2345 + 119 * k}")[k % 3]
+        for k in range(60)
+    ],
+}
 
 
 def bound(value: Column, use) -> Column:
@@ -190,14 +222,67 @@ def features(c: Column) -> list[Column]:
         number(F.rlike(before, F.lit(r"[A-Za-z=._-]$"))),
         number(F.rlike(after, F.lit(r"^[A-Za-z=_-]"))),
         number(F.rlike(before, F.lit(CUES))),
+        number(F.rlike(before, F.lit(PHONE_CUES))),
+        number(F.rlike(before, F.lit(OTHER_CUES))),
+        number(F.rlike(match, F.lit(r"[A-Za-z]{2,}$"))),
     ]
 
 
-def plausible(c: Column, generator: Generator) -> Column:
-    """The label trees learn from: the hard rule, and for proposed phones a country code or an area in brackets."""
-    if generator.base or generator.kind != "phone":
-        return c["valid"]
-    return c["valid"] & F.rlike(c["match"], F.lit(r"^(\+|\()"))
+def examples(generator: Generator, match: Column, own_before: Column, own_after: Column) -> Column:
+    """Array of (candidate, label): what trees learn from, made of a span that the base rules found.
+
+    The same span is written in other formats and put where it is personal data and where
+    it is none. The label comes from how an example was made, not from its features: places
+    without a cue hold some personal data, places with one some other numbers, and other
+    numbers pass the check of cards by chance.
+    """
+    number = digits(match)
+
+    def one_of(choices: tuple[str, ...], salt: str) -> Column:
+        return F.get(F.array(*map(F.lit, choices)), F.pmod(F.xxhash64(match, F.lit(salt)), F.lit(len(choices))).cast("int"))
+
+    def made(written: Column, before: Column, after: Column, label: bool) -> Column:
+        tail, head = F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT))
+        return F.struct(F.struct(written.alias("match"), tail.alias("before"), head.alias("after")).alias("c"), F.lit(label).alias("y"))
+
+    rest, run = F.lit(" "), F.lit(" 4556")
+    place = lambda salt: one_of(PLACES[generator.kind], salt)
+    other = lambda salt: one_of(OTHER_PLACES, salt)
+    if generator.kind == "email":
+        user, host = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
+        hidden = [F.concat(user, F.lit(" (at) "), host), F.concat(user, F.lit("[at]"), F.replace(host, F.lit("."), F.lit("[dot]")))]
+        clock = F.concat(F.lit("meet (at) "), F.pmod(F.xxhash64(match), F.lit(12)).cast("string"), F.lit(".30"))
+        return F.array(
+            *[made(h, b, rest, True) for k, h in enumerate(hidden) for b in (own_before, place(f"e{k}"))],
+            made(clock, own_before, rest, False), made(clock, place("e"), rest, False),
+        )
+    if generator.kind == "card":
+        grouped = F.regexp_replace(number, "([0-9]{4})(?=[0-9])", "$1 ")
+        turned = F.concat(F.right(number, F.length(number) - 5), F.left(number, F.lit(5)))  # a card by chance only
+        last = F.right(number, F.lit(1)).cast("int")
+        mistaken = F.concat(F.left(number, F.length(number) - 1), ((last + 1 + F.pmod(F.xxhash64(match), F.lit(9)).cast("int")) % 10).cast("string"))
+        beside, before = F.concat(F.lit(" "), number), F.concat(number, F.lit(" "))
+        return F.array(
+            made(number, own_before, own_after, True), made(number, F.lit("+1 (269) 555-3296 "), rest, True), made(number, before, rest, True),
+            made(number, own_before, beside, True), made(grouped, place("c1"), rest, True), made(number, place("c2"), rest, True), made(number, other("c3"), rest, True),
+            made(turned, other("c4"), rest, False), made(mistaken, own_before, own_after, False), made(mistaken, before, rest, False),
+            made(F.regexp_replace(mistaken, "([0-9]{4})(?=[0-9])", "$1 "), other("c5"), rest, False),
+        )
+    end = F.right(number, F.lit(4))
+    middle, area = F.substr(number, F.length(number) - 6, F.lit(3)), F.substr(F.concat(F.lit("030"), number), F.length(number) - 6, F.lit(3))
+    local = {sign: F.concat(area, F.lit(sign), middle, F.lit(sign), end) for sign in "- ."}
+    local["long"] = F.concat(F.lit("0"), F.left(area, F.lit(2)), F.lit(" "), middle, F.left(area, F.lit(1)), F.lit(" "), end)
+    bracketed = F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), end)
+    beside = F.lit(" 4524132264652876")
+    return F.array(
+        made(match, own_before, own_after, True), made(match, own_before, beside, True), made(match, F.lit("4524132264652876 "), rest, True),
+        made(match, other("p"), rest, True), made(bracketed, own_before, rest, True), made(bracketed, place("p("), beside, True),
+        *[made(written, place(f"p{sign}"), rest, True) for sign, written in local.items()],
+        *[made(written, other(f"o{sign}"), rest, False) for sign, written in local.items()],
+        made(local["-"], place("p+"), beside, True),
+        # pieces of longer numbers
+        made(local["long"], one_of(PLACES["card"], "r"), run, False), made(local[" "], F.lit("12 "), run, False),
+    )
 
 
 @dataclass
@@ -214,25 +299,23 @@ class Model:
 
 
 def fitted(candidates: DataFrame, documents: int = 2_000, per_document: int = 20) -> Model:
-    """Trees from a bounded sample: ``documents`` documents with candidates, ``per_document`` of each generator's.
+    """Trees from examples made of a bounded sample of base spans: of each kind ``documents`` different
+    ones, of the first ``per_document`` of a document, and the fixed ones.
 
-    Half of the sample fits the trees, the other half sets the thresholds. Without labels of
-    both kinds the score is constant, and proposals are accepted where most of the sample was.
+    Half of the examples fits the trees, the other half sets the thresholds.
     """
-    columns = [f"_c{k}" for k in range(len(GENERATORS))]
-    some = F.lit(False)
-    for c in columns:
-        some = some | (F.size(c) > 0)
-    chosen = candidates.filter(some).orderBy(F.xxhash64("doc_id", *columns)).limit(documents)
-
-    def seen(column: str, generator: Generator) -> Column:
-        row = lambda c: F.struct(F.lit(generator.kind).alias("kind"), F.array(*features(c)).alias("x"), plausible(c, generator).alias("y"))
-        return F.transform(F.slice(column, 1, per_document), row)
-
-    rows = F.concat(*[seen(c, g) for c, g in zip(columns, GENERATORS)])
-    sample = sorted(((r["kind"], tuple(r["x"]), bool(r["y"])) for r in chosen.select(F.inline(rows)).collect()), key=repr)
-    if not sample:
-        return Model(boosting.Boosted(), dict.fromkeys(KINDS, 0.0))
+    sample = []
+    for k, generator in enumerate(GENERATORS):
+        if not generator.base or generator.kind not in SEEDS:
+            continue
+        valid = F.slice(F.filter(f"_c{k}", lambda c: c["valid"]), 1, per_document)
+        found = candidates.select(F.explode(valid).alias("c")).groupBy("c.match").agg(F.min(F.struct("c.before", "c.after")).alias("own"))
+        found = found.orderBy(F.xxhash64("match"), "match").limit(documents).select("match", "own.before", "own.after")
+        fixed = F.array(*[F.struct(F.lit(m).alias("match"), F.lit("the ").alias("before"), F.lit(" and").alias("after")) for m in SEEDS[generator.kind]])
+        seeds = found.unionByName(candidates.sparkSession.range(1).select(F.inline(fixed)))
+        rows = F.transform(examples(generator, F.col("match"), F.col("before"), F.col("after")), lambda e: F.struct(F.array(*features(e["c"])).alias("x"), e["y"].alias("y")))
+        sample += [(generator.kind, tuple(r["x"]), r["y"]) for r in seeds.select(F.inline(rows)).collect()]
+    sample.sort(key=repr)
     kinds = np.array([s[0] for s in sample])
     x, y = np.array([s[1] for s in sample], float), np.array([s[2] for s in sample], float)
     half = np.random.default_rng(3).permutation(len(sample)) % 2 == 0

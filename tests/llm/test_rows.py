@@ -313,6 +313,25 @@ def test_personal_data(spark):
     assert pii.personal_data(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("table", ["with", "without"])
+def test_what_stands_before_a_local_phone_decides(spark, table):
+    rng = random.Random(8)
+    some = [f"so +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} and" for _ in range(200)] if table == "with" else []
+    phones = ["269-555-3296", "030 1234 5678", "743.555.3824"]
+    texts = [f"{cue}{p} today" for p in phones for cue in ("my tel ", "Please phone: ", "fax ", "call ")]
+    others = [f"{word}{p} today" for p in phones for word in ("the order ", "serial ", "a total of ", "")]
+    kept = ["see (269) 555-3296 now", "+1 (269) 555-3296 4524132264652876", "4465758382889437 4465758382889437", "a.b (at) c.org"]
+    frame = spark.createDataFrame(list(enumerate(some + texts + others + kept)), "doc_id long, text string")
+    model = pii.fitted(pii.with_candidates(frame).drop("text"))
+    got = {r.doc_id: r.text for r in pii.redacted(frame, model).collect()}
+    start = len(some)
+    assert all("[PHONE]" in got[start + k] for k in range(len(texts))), [got[start + k] for k in range(len(texts))]
+    assert [got[start + len(texts) + k] for k in range(len(others))] == others
+    assert [got[start + len(texts) + len(others) + k] for k in range(len(kept))] == [
+        "see [PHONE] now", "[PHONE] [CARD]", "[CARD] [CARD]", "[EMAIL]",
+    ]
+
+
 def test_redaction(spark):
     texts = [None, "", "mail a.b@c.org, card 4524132264652876", "nothing 12 here"]
     frame = spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "doc_id long, text string, _text long")
