@@ -14,10 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from reelmart.session import cut_lineage, small_side
+
 BUCKETS = 4096
 CHUNK = 1 << 20  # code points of a text turned into bytes at a time
 LETTER = regex.compile(r"\p{L}")
@@ -99,20 +101,17 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return seen[:-1], int(seen[-1])
 
 
-def spark_map(values: dict[str, float]) -> Column:
-    """A map column of literals; empty maps need their types spelt out."""
-    if not values:
-        return F.create_map().cast("map<string,double>")
-    return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])
-
-
-def sample_counts(rows: DataFrame, per_language: int, languages: int) -> list[tuple[str, np.ndarray]]:
-    """Counts of about ``per_language`` texts of each of the ``languages`` most frequent languages, twice as many in all at most."""
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    # A hash threshold per language takes about as many rows of each, without gathering a language anywhere.
-    share = spark_map({r["lang"]: min(1.0, per_language / r["count"]) for r in frequent})
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 30)
-    texts = rows.filter(drawn).select("lang", "text")
+def sample_counts(rows: DataFrame, per_language: int) -> DataFrame:
+    """``lang, counts`` of at most ``per_language`` texts of each language."""
+    place = F.xxhash64("doc_id")
+    places = cut_lineage(rows.select("lang", place.alias("place")).distinct(), "places")
+    sizes = places.groupBy("lang").agg(F.count("*").alias("size"))
+    # A hash threshold leaves about twice as many of each language, so that no language is gathered to be ranked.
+    near = places.join(small_side(sizes), "lang").filter(F.pmod("place", F.lit(1 << 30)) < (2 * per_language << 30) / F.col("size"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    chosen = near.select("lang", "place").withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
+    drawn = rows.withColumn("place", place).join(small_side(cut_lineage(chosen, "chosen")), ["lang", "place"])
+    texts = drawn.groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blanks = letters_only()
@@ -120,8 +119,7 @@ def sample_counts(rows: DataFrame, per_language: int, languages: int) -> list[tu
             counts = [gram_counts(t.as_py(), blanks).clip(0, 65_535).astype("<u2").tobytes() for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(counts, pa.binary())], ["lang", "counts"])
 
-    found = texts.mapInArrow(run, "lang string, counts binary").limit(2 * per_language * languages).collect()
-    return sorted(((r["lang"], bytes(r["counts"])) for r in found))
+    return texts.mapInArrow(run, "lang string, counts binary")
 
 
 def clustered(vectors: np.ndarray, clusters: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -140,29 +138,31 @@ def clustered(vectors: np.ndarray, clusters: int, rounds: int = 8) -> tuple[np.n
     return centroids, (vectors @ centroids.T).argmax(1)
 
 
-def fitted_languages(docs: DataFrame, clusters: int = 4, per_language: int = 400, languages: int = 64) -> Languages:
-    """The model of the learning rows of ``docs``; the sample of texts for the centroids is bounded by the arguments."""
+def fitted_languages(docs: DataFrame, clusters: int = 4, per_language: int = 400) -> Languages:
+    """The model of all languages of the learning rows of ``docs``; the texts for the centroids are bounded per language."""
     rows = learning_rows(docs)
     seen, count = document_frequencies(rows)
     idf = np.log((1.0 + count) / (1.0 + seen)).astype(np.float32) + 1.0
     model = Languages([], np.zeros(0, int), np.zeros((0, BUCKETS), np.float32), np.zeros(0), idf)
-    by_name: dict[str, list[np.ndarray]] = {}
-    for name, counts in sample_counts(rows, per_language, languages):
-        vector = model.vector(np.frombuffer(counts, "<u2"))
-        if vector.any():
-            by_name.setdefault(name, []).append(vector)
-    of, centroids, radius = [], [], []
-    for number, (name, vectors) in enumerate(sorted(by_name.items())):
-        stacked = np.array(vectors, np.float32)
-        middle, member = clustered(stacked, clusters)
-        far = 1.0 - (stacked * middle[member]).sum(1)
-        for k in range(len(middle)):
-            of.append(number)
-            centroids.append(middle[k])
-            # Short texts lie far from any centroid; half the least similarity of the language's own texts is the limit.
-            radius.append(1.0 - (1.0 - float(far.max())) / 2)
-    model.names, model.of, model.radius = sorted(by_name), np.array(of, int), np.array(radius)
-    model.centroids = np.array(centroids, np.float32).reshape(len(of), BUCKETS)
+
+    def fit(key: tuple[pa.Scalar, ...], texts: pa.Table) -> pa.Table:
+        vectors = [model.vector(np.frombuffer(c, "<u2")) for c in sorted(texts.column("counts").to_pylist())]
+        stacked = np.array([v for v in vectors if v.any()], np.float32).reshape(-1, BUCKETS)
+        middle, far = stacked, 0.0
+        if len(stacked):
+            middle, member = clustered(stacked, clusters)
+            far = float((1.0 - (stacked * middle[member]).sum(1)).max())
+        kept = pa.array([m.astype("<f4").tobytes() for m in middle], pa.binary())
+        # Short texts lie far from any centroid; half the least similarity of the language's own texts is the limit.
+        radius = pa.array([1.0 - (1.0 - far) / 2] * len(middle), pa.float64())
+        return pa.table([pa.array([key[0].as_py()] * len(middle), pa.string()), pa.array(range(len(middle)), pa.int64()), kept, radius], ["lang", "k", "centroid", "radius"])
+
+    groups = sample_counts(rows, per_language).groupBy("lang")
+    found = sorted(groups.applyInArrow(fit, "lang string, k long, centroid binary, radius double").collect(), key=lambda r: (r["lang"], r["k"]))
+    model.names = sorted({r["lang"] for r in found})
+    number = {name: k for k, name in enumerate(model.names)}
+    model.of, model.radius = np.array([number[r["lang"]] for r in found], int), np.array([r["radius"] for r in found])
+    model.centroids = np.array([np.frombuffer(r["centroid"], "<f4") for r in found], np.float32).reshape(len(found), BUCKETS)
     return model
 
 

@@ -270,6 +270,17 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identified(odd, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark):
+    rng = random.Random(2)
+    words = {f"l{k:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for k in range(70)}
+    rows = [(100 * n + k, " ".join(rng.choices(own, k=30)), name) for n, (name, own) in enumerate(words.items()) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    model = language.fitted_languages(docs, per_language=5)
+    assert model.names == sorted(words) and np.bincount(model.of).max() <= 4
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs, model).collect()}
+    assert all(got[number] == name for number, _, name in rows)
+
+
 def test_grams_do_not_depend_on_chunks(monkeypatch):
     text, blanks = "Größe und Maß; the end. " * 40, language.letters_only()
     whole = language.gram_counts(text, blanks)
