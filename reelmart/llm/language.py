@@ -102,8 +102,8 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample_counts(rows: DataFrame, per_language: int) -> DataFrame:
-    """``lang, counts`` of at most ``per_language`` texts of each language."""
-    place = F.xxhash64("doc_id")
+    """``lang, counts`` of at most ``per_language`` texts of each language; copies under one id count once."""
+    place = F.xxhash64("doc_id", "text")
     places = cut_lineage(rows.select("lang", place.alias("place")).distinct(), "places")
     sizes = places.groupBy("lang").agg(F.count("*").alias("size"))
     # A hash threshold leaves about twice as many of each language, so that no language is gathered to be ranked.

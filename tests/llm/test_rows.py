@@ -281,6 +281,16 @@ def test_every_language_is_learnt(spark):
     assert all(got[number] == name for number, _, name in rows)
 
 
+def test_languages_whose_rows_share_an_id_are_learnt_from_many_texts(spark):
+    rng = random.Random(4)
+    words = {f"l{k}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for k in range(4)}
+    rows = [(None if k == 0 else k, " ".join(rng.choices(own, k=12)), name) for k, (name, own) in enumerate(words.items()) for _ in range(60)]
+    rows += [(None, "the same text again", "l0")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = [r.lang for r in language.sample_counts(docs, 20).collect()]
+    assert {name: learnt.count(name) for name in words} == dict.fromkeys(words, 20)
+
+
 def test_grams_do_not_depend_on_chunks(monkeypatch):
     text, blanks = "Größe und Maß; the end. " * 40, language.letters_only()
     whole = language.gram_counts(text, blanks)
