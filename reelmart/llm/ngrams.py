@@ -270,11 +270,13 @@ def verified(pairs: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
 def overlap_bound(left: str, right: str) -> Column:
     """Largest possible intersection by the bitmaps: bits that differ are shingles of one side only.
 
-    Of two widths the wider one is folded once; sizes that fit never differ by more.
+    Of two widths the wider one is folded until both are equal.
     """
     x, y = F.col(f"{left}_bitmap"), F.col(f"{right}_bitmap")
     words = F.least(F.size(x), F.size(y))
-    at = lambda bits, i: F.when(F.size(bits) > words, F.get(bits, i).bitwiseXOR(F.get(bits, i + words))).otherwise(F.get(bits, i))
+    folds = lambda bits: F.sequence(F.lit(1), (F.size(bits) / words).cast("int") - 1)
+    whole = lambda bits, i: F.aggregate(folds(bits), F.get(bits, i), lambda s, j: s.bitwiseXOR(F.get(bits, i + j * words)))
+    at = lambda bits, i: F.when(F.size(bits) > words, whole(bits, i)).otherwise(F.get(bits, i))
     count = lambda s, i: s + F.bit_count(at(x, i).bitwiseXOR(at(y, i)))
     differing = F.aggregate(F.sequence(F.lit(0), words - 1), F.lit(0), count)
     both = F.least(f"{left}_n", f"{right}_n")

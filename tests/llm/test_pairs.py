@@ -161,3 +161,11 @@ def test_tiles_meet_once(spark):
                 if i == j or side != other:
                     met[frozenset((a, b))] += 1
     assert len(met) == 50 * 49 // 2 and set(met.values()) == {1}
+
+
+def test_bitmaps_of_widths_that_differ_by_more_than_two_are_folded_in_full(spark):
+    wide = [3, 5, 0, 1, 8, 0, 0, 2]
+    rows = [(9, wide, 9, ngrams.folded(np.array(wide), w).tolist()) for w in (1, 2, 4, 8)]
+    frame = spark.createDataFrame(rows, "a_n long, a_bitmap array<long>, b_n long, b_bitmap array<long>")
+    bounds = frame.select(ngrams.overlap_bound("a", "b"), ngrams.overlap_bound("b", "a")).collect()
+    assert [tuple(r) for r in bounds] == [(9, 9)] * 4
