@@ -64,5 +64,84 @@ SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id F
 """
 
 
+# CRC-32 of a decimal id from its table of 256 values, made by rule; nodes are lists of turns.
+TRIE = """
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos,
+        {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS said
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, own, conv_id - conv_id % 20 AS base,
+        xor(4294967295, list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 4 AS h
+    FROM (SELECT conv_id, list(said ORDER BY pos) AS own FROM turns GROUP BY conv_id), crc),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own[1 : c.h], []), c.own[c.h + 1 :]) AS path FROM convs c LEFT JOIN convs b ON b.conv_id = c.base),
+places AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt),
+nodes AS (
+    SELECT path[1 : depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+    FROM places GROUP BY 1, 2),
+valued AS (
+    SELECT *, node[1 : depth - 1] AS parent, (n_convs - 1) * CASE WHEN depth = 0 THEN 0
+        ELSE len(regexp_extract_all(node[depth].x, '[^\\x20\\x09-\\x0D]+')) END AS tokens FROM nodes),
+family AS (SELECT parent AS node, count(*) AS n FROM valued WHERE depth > 0 GROUP BY 1),
+above AS (SELECT v.node[1 : d] AS node, (f.n IS NULL) AS leaf, tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) v LEFT JOIN family f ON f.node = v.node),
+totals AS (SELECT node, count(*) FILTER (leaf) AS n_leaves, CAST(sum(tokens) AS BIGINT) AS saved_tokens FROM above GROUP BY 1)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(f.n, 0) AS n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM valued v JOIN totals USING (node) LEFT JOIN family f ON f.node = v.node LEFT JOIN nodes p ON v.depth > 0 AND p.node = v.parent
+"""
+
+
+RANKED = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+total AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs),
+held AS (SELECT r, unnest(terms) AS term FROM docs),
+counted AS (SELECT r, term, count(*) AS tf FROM held GROUP BY ALL),
+spread AS (SELECT term, count(*) AS df FROM counted GROUP BY ALL),
+items AS (
+    SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS terms FROM benchmark),
+asked AS (SELECT i, item_id, unnest(terms) AS term FROM items),
+weighed AS (
+    SELECT i, item_id, term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+    FROM asked JOIN spread USING (term), total),
+sized AS (SELECT r, doc_id, 10 + (90 * len(terms) * n_docs) // n_terms AS m FROM docs, total),
+scores AS (
+    SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM weighed JOIN counted USING (term) JOIN sized USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+MATCHES = """
+WITH fit AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scores AS (
+    SELECT q.r AS r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM fit q JOIN fit c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scores)
+WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op2_pstable_embedding_dedup": EMBEDDINGS, "op3_ngram_jaccard_join": JACCARD}
+    return {
+        "op1_chat_formatting": CHAT,
+        "op2_pstable_embedding_dedup": EMBEDDINGS,
+        "op3_ngram_jaccard_join": JACCARD,
+        "op11_prefix_trie": TRIE,
+        "op12_ranked_lexical_search": RANKED,
+        "op13_exact_top_matches": MATCHES,
+    }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm import bpe, chat, embeddings, html, language, ngrams, packing, pii, quality, sharding
+from reelmart.llm import bpe, chat, embeddings, html, language, lexical, ngrams, packing, pii, pivots, quality, sharding, trie
 from reelmart.llm.common import table
 
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -68,6 +68,19 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lexical.ranked(docs, lexical.indexed(docs), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_exact_top_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.top_matches(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_chat_formatting,
@@ -80,5 +93,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_feistel_sharding,
         op9_nearest_centroid_language,
         op10_boosted_pii,
+        op11_prefix_trie,
+        op12_ranked_lexical_search,
+        op13_exact_top_matches,
     ]
     return {f.__name__: f for f in named}
