@@ -8,7 +8,7 @@ leaves less than half the similarity of the farthest text the language was learn
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +16,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reelmart.session import cut_lineage, small_side
 
@@ -166,29 +165,34 @@ def fitted_languages(docs: DataFrame, clusters: int = 4, per_language: int = 400
     return model
 
 
-def identified(docs: DataFrame, model: Languages, rejected_column: str = "") -> DataFrame:
+def foreign_text(model: Languages) -> Callable[[str], Column]:
+    """The rejection of ``identified`` on a text column; no other column goes to Python."""
+
+    @F.arrow_udf("boolean")
+    def rejected(texts: pa.Array) -> pa.Array:
+        blanks = letters_only()
+        return pa.array([model.predict(t.as_py(), blanks)[2] for t in texts], pa.bool_())
+
+    return rejected
+
+
+def identified(docs: DataFrame, model: Languages) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` of every row, from its whole text alone.
 
     NULL text, empty text and text without a letter give ``und``, score 0, rejected. With no
-    learning rows every text does. Equal similarities go to the first language by name. With
-    ``rejected_column`` the columns of ``docs`` come along and only the rejection is added, by that name.
+    learning rows every text does. Equal similarities go to the first language by name. Other
+    columns are not read.
     """
-    source = docs if rejected_column else docs.select("doc_id", "text")
-    text_at = source.columns.index("text")
+    source = docs.select("doc_id", "text")
     kind = dict(source.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blanks = letters_only()
         for batch in batches:
-            found = [model.predict(t.as_py(), blanks) for t in batch.column(text_at)]
+            found = [model.predict(t.as_py(), blanks) for t in batch.column(1)]
             name, score, rejected = zip(*found) if found else ((), (), ())
-            if rejected_column:
-                yield pa.record_batch([*batch.columns, pa.array(rejected, pa.bool_())], [*batch.schema.names, rejected_column])
-            else:
-                made = [pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-                yield pa.record_batch([batch.column(0), *made], ["doc_id", "lang_pred", "score", "rejected"])
-
-    if rejected_column:
-        return source.mapInArrow(run, StructType([*source.schema.fields, StructField(rejected_column, BooleanType())]))
+            made = [pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.record_batch([batch.column(0), *made], ["doc_id", "lang_pred", "score", "rejected"])
+
     out = source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
     return out.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

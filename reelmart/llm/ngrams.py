@@ -31,6 +31,7 @@ from reelmart.session import cut_lineage
 
 LEAST_BITS = 256  # of a bitmap
 TILE_BLOCK = 512  # members of a large tile compared with as many others at once
+STRIP = 64  # members compared with their whole tile at once
 TAG = (1 << 48) - 1  # bits kept of names that are shuffled in numbers
 BAND_GROWTH = 1.5  # upper over lower end of a band
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
@@ -301,16 +302,22 @@ def tile_survivors(columns: dict[str, np.ndarray], start: int, stop: int, law: L
     maps = columns["bitmap"][start:stop]
     words = min(len(m) for m in maps)
     bitmap = np.array([folded(m, words) for m in maps])
-    total = size[:, None] + size[None, :]
-    differing = np.zeros((len(cid), len(cid)), np.int64)
-    for word in range(words):
-        differing += np.bitwise_count(bitmap[:, None, word] ^ bitmap[None, :, word])
-    shared = np.minimum(np.minimum(size[:, None], size[None, :]), (total - differing) // 2)
-    possible = law.enough(shared, total) & (root[:, None] != root[None, :]) & (cid[:, None] < cid[None, :])
-    if columns["_i"][start] != columns["_j"][start]:
-        possible &= side[:, None] != side[None, :]
-    a, b = np.nonzero(possible)
-    return cid[a], cid[b]
+    split = columns["_i"][start] != columns["_j"][start]
+    left, right = [], []
+    for at in range(0, len(cid), STRIP):
+        row = slice(at, at + STRIP)
+        total = size[row, None] + size[None, :]
+        differing = np.zeros(total.shape, np.int32)
+        for word in range(words):
+            differing += np.bitwise_count(bitmap[row, None, word] ^ bitmap[None, :, word])
+        shared = np.minimum(np.minimum(size[row, None], size[None, :]), (total - differing) // 2)
+        possible = law.enough(shared, total) & (root[row, None] != root[None, :]) & (cid[row, None] < cid[None, :])
+        if split:
+            possible &= side[row, None] != side[None, :]
+        a, b = np.nonzero(possible)
+        left.append(cid[row][a])
+        right.append(cid[b])
+    return np.concatenate(left), np.concatenate(right)
 
 
 def cross_component_pairs(members: DataFrame, classes: DataFrame, law: Law, block: int = TILE_BLOCK) -> DataFrame:

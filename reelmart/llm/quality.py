@@ -9,13 +9,12 @@ field learns from lines of labelled documents, each with its document's label.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reelmart.llm import crf
 
@@ -124,10 +123,16 @@ def count_symbols(data: bytes) -> int:
 
 
 def labelled_lines(docs: DataFrame, labels: DataFrame, documents: int, lines: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Training sequences of at most ``documents`` labelled documents, ``lines`` lines each."""
-    chosen = labels.select("doc_id", "quality").filter("doc_id IS NOT NULL AND quality IN (0, 1)").dropDuplicates(["doc_id"])
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text IS NOT NULL")
+    """Training sequences of at most ``documents`` labelled documents, ``lines`` lines each.
+
+    Documents with labels of both kinds teach nothing; of rows that share an id the least text
+    counts, so that every run draws the same.
+    """
+    known = labels.select("doc_id", "quality").filter("doc_id IS NOT NULL AND quality IN (0, 1)")
+    chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+    chosen = chosen.filter("quality = other").drop("other").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text IS NOT NULL")
+    texts = met.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = byte_classes()
@@ -141,7 +146,7 @@ def labelled_lines(docs: DataFrame, labels: DataFrame, documents: int, lines: in
             columns = list(zip(*out)) or [[], [], []]
             yield pa.record_batch([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())], ["x", "n", "y"])
 
-    rows = texts.mapInArrow(run, "x binary, n long, y int").limit(documents).collect()
+    rows = texts.mapInArrow(run, "x binary, n long, y int").collect()
     rows.sort(key=lambda r: (r["y"], bytes(r["x"])))
     return [(np.frombuffer(r["x"], "<f4").reshape(r["n"], -1).astype(float), np.full(r["n"], r["y"])) for r in rows]
 
@@ -171,31 +176,33 @@ SCHEMA = (
 )
 
 
-def judged_documents(docs: DataFrame, model: crf.Chain, share: float = 0.5, kept_column: str = "") -> DataFrame:
+def good_text(model: crf.Chain, share: float = 0.5) -> Callable[[str], Column]:
+    """The verdict of ``judged_documents`` on a text column; no other column goes to Python."""
+
+    @F.arrow_udf("boolean")
+    def verdict(texts: pa.Array) -> pa.Array:
+        flags = byte_classes()
+        return pa.array([measures(t.as_py(), flags, model, share)[6] for t in texts], pa.bool_())
+
+    return verdict
+
+
+def judged_documents(docs: DataFrame, model: crf.Chain, share: float = 0.5) -> DataFrame:
     """``doc_id``, the base counts, ``base_failed``, ``kept`` and ``content_share`` of every row.
 
     Counts cover whole texts. NULL, empty and blank texts have no words and fail the base
-    rules. Repeated rows are judged alike; an empty table gives no rows. With
-    ``kept_column`` all columns of ``docs`` come along and only the verdict is added, by that name.
+    rules. Repeated rows are judged alike; an empty table gives no rows. Other columns are not read.
     """
-    source = docs if kept_column else docs.select("doc_id", "text")
-    text_at = source.columns.index("text")
+    source = docs.select("doc_id", "text")
     names = [s.split()[0] for s in SCHEMA.split(", ")]
-    if kept_column:
-        schema = StructType([*source.schema.fields, StructField(kept_column, BooleanType())])
-    else:
-        schema = f"doc_id {dict(source.dtypes)['doc_id']}, {SCHEMA}"
+    schema = f"doc_id {dict(source.dtypes)['doc_id']}, {SCHEMA}"
     types = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = byte_classes()
         for batch in batches:
-            found = [measures(t.as_py(), flags, model, share) for t in batch.column(text_at)]
-            columns = list(zip(*found)) or [[]] * len(names)
-            if kept_column:
-                yield pa.record_batch([*batch.columns, pa.array(columns[6], pa.bool_())], [*batch.schema.names, kept_column])
-            else:
-                made = [pa.array(c, t) for c, t in zip(columns, types)]
-                yield pa.record_batch([batch.column(0), *made], ["doc_id", *names])
+            found = [measures(t.as_py(), flags, model, share) for t in batch.column(1)]
+            made = [pa.array(c, t) for c, t in zip(list(zip(*found)) or [[]] * len(names), types)]
+            yield pa.record_batch([batch.column(0), *made], ["doc_id", *names])
 
     return source.mapInArrow(run, schema)
