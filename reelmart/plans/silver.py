@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import asset_count, iso_date, iso_timestamp
 from reelmart.operators.dedup import latest_by
+from reelmart.operators.layers import of_keys
 from reelmart.schemas import SILVER, SILVER_SOURCES
+from reelmart.session import small_side
 from reelmart.sources.landing import CORRUPT, SOURCE, quarantined, read_landed, readable, rows_of_runs
 
 
@@ -151,6 +153,32 @@ def with_new_runs(name: str, published: DataFrame, added: DataFrame) -> DataFram
     return latest_by(both, list(contract.key), [F.desc_nulls_last(c) for c in NEWER[name]], ["run_id"])
 
 
+# Tables without partitions take new rows as a layer beside their base instead of being written again.
+LAYERED = {name: NEWER[name] for name, contract in SILVER.items() if not contract.partitions}
+
+
+def touched_partitions(name: str, published: DataFrame, added: DataFrame) -> list[tuple]:
+    """K5, M1: the partitions that new rows change: those they lie in, and those that hold an older row of their keys.
+
+    Of the published table only the key is read. As many tuples as there are partitions, at most.
+    """
+    contract = SILVER[name]
+    keys = small_side(added.select(*contract.key).distinct())
+    older = of_keys(published.select(*{*contract.key, *contract.partitions}), keys, list(contract.key))
+    both = added.select(*contract.partitions).union(older.select(*contract.partitions)).distinct()
+    return [tuple(r) for r in both.collect()]
+
+
+def in_partitions(columns: tuple[str, ...], values: list[tuple]) -> Column:
+    """A filter on some partitions, NULL ones included, which scans are pruned by."""
+    if len(columns) == 1:
+        known = F.col(columns[0]).isin([v for v, in values if v is not None])
+        return known if all(v is not None for v, in values) else known | F.col(columns[0]).isNull()
+    first = {v[0] for v in values}
+    parts = [F.col(columns[0]).eqNullSafe(F.lit(x)) & in_partitions(columns[1:], [v[1:] for v in values if v[0] == x]) for x in first]
+    return reduce(Column.__or__, parts)
+
+
 def landing_reader(spark: SparkSession, base: str, ingestion_dates: list[str] | None = None) -> Callable[[str], DataFrame]:
     """Landed rows straight from the JSON files, of some ingestion dates or of all.
 
