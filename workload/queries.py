@@ -278,12 +278,11 @@ def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = f"{work}/log"
     ingest.append_landed(ingest.landed_stream(spark, base, "events"), log, f"{log}-checkpoint").awaitTermination()
     runs = testbed.runs(spark, sf_dir)
+    key, newest = ["event_key"], [F.desc_nulls_last("ingested_at")]
     for approved in (runs.filter(F.col("run_id") == RUN_ID), runs):
-        ingest.merge_runs(
-            spark.read.parquet(log), approved, f"{work}/table", f"{work}/merges", ["event_key"],
-            [F.desc_nulls_last("ingested_at")], buckets=8,
-        )
-    return silver.flat_events(spark.read.parquet(f"{work}/table")).select(*STREAMED)
+        # both runs hold all events, so a share above 1 leaves the second one a layer
+        ingest.merge_runs(spark.read.parquet(log), approved, f"{work}/table", f"{work}/merges", key, newest, fold_share=2.0)
+    return silver.flat_events(ingest.merged_rows(spark, f"{work}/table", key, newest)).select(*STREAMED)
 
 
 # reports and checks
