@@ -137,16 +137,17 @@ def require_complete(completeness: DataFrame) -> DataFrame:
 def endpoint_audit(objects: DataFrame, by: list[str], windows: DataFrame | None = None) -> DataFrame:
     """Pages, records and objects per media and endpoint.
 
-    ``objects`` holds one row per landed file: endpoint and records; only events
-    have more than one file per media. Dates are filled only for the endpoints that
-    take a date window.
+    ``objects`` holds one row per landed file, or one with the number of ``objects``:
+    endpoint and records; only events have more than one file per media. Dates are filled
+    only for the endpoints that take a date window.
     """
     # Endpoints that are asked for a date window.
     dated = F.col("endpoint").isin("media_daily_stats", "events")
+    files = F.sum("objects") if "objects" in objects.columns else F.count(F.lit(1))
     counted = objects.groupBy(*by, "endpoint").agg(
-        F.count(F.lit(1)).alias("pages_fetched"),
+        files.alias("pages_fetched"),
         F.sum("records").alias("records_fetched"),
-        F.count(F.lit(1)).alias("bronze_object_count"),
+        files.alias("bronze_object_count"),
     )
     if windows is not None:
         counted = counted.join(windows.select("media_id", "start_date", "end_date"), "media_id", "left").withColumns({

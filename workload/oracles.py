@@ -22,6 +22,26 @@ FRAGMENTS = {
                CAST(run_date AS TIMESTAMP) + INTERVAL 26 HOUR AS ingested_at
         FROM (SELECT DISTINCT CAST(day + CAST(lag AS INTEGER) AS DATE) AS run_date FROM ev, lags)""",
     "runs": "SELECT run_date, run_id, ingested_at FROM all_runs WHERE status = 'SUCCESS'",
+    # events after three builds: which run an event comes from, which build wrote its partition
+    "first_day": "SELECT min(day) AS lo FROM ev",
+    "second_events": """
+        SELECT *, CAST(received_at AS DATE) AS event_date FROM (
+          SELECT 'e' || event_id AS event_key, media_id, day, lo,
+                 CASE WHEN value < 200 THEN 'v' || user_id END AS visitor_key,
+                 CASE WHEN event_type = 'purchase' AND value > 300 THEN NULL ELSE ts END AS received_at,
+                 CASE WHEN day >= lo + 5 THEN least(value, 100.0) ELSE 0.0 END AS percent_viewed,
+                 CASE WHEN day >= lo + 5 THEN 'run-20240131' ELSE 'run-20240130' END AS run_id
+          FROM ev JOIN customer ON user_id = c_custkey, first_day)""",
+    "second_parts": """
+        SELECT event_date, CASE WHEN bool_or(day <= lo + 1) THEN 3 WHEN bool_or(day >= lo + 5) THEN 2 ELSE 1 END AS build
+        FROM second_events GROUP BY event_date""",
+    "landed_files": """
+        SELECT media_id, 'events' AS endpoint, CASE WHEN page <= total // 100 THEN 100 ELSE total % 100 END AS records
+        FROM (SELECT media_id, total, unnest(range(1, total // 100 + 2)) AS page
+              FROM (SELECT media_id, count(*) AS total FROM engagement_events GROUP BY media_id))
+        UNION ALL SELECT media_id, unnest(['media', 'media_stats', 'engagement']), 1 FROM media
+        UNION ALL SELECT media_id, 'media_daily_stats', count(DISTINCT day) FROM ev GROUP BY media_id""",
+    "landed_people": "SELECT count(DISTINCT user_id) AS n FROM ev JOIN customer ON user_id = c_custkey WHERE value < 200",
     "people": """
         SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
@@ -256,6 +276,29 @@ ORACLES = {
               UNION ALL SELECT media_id, unnest(['media', 'media_stats', 'engagement']), 1 FROM media
               UNION ALL SELECT media_id, 'media_daily_stats', count(DISTINCT day) FROM ev GROUP BY media_id)
         GROUP BY media_id, endpoint""",
+    "second_build": """
+        SELECT event_key, media_id, visitor_key, received_at, percent_viewed, d.event_date, run_id, build
+        FROM second_events d JOIN second_parts b ON d.event_date IS NOT DISTINCT FROM b.event_date""",
+    "landing_record": """
+        SELECT 'run-20240131' AS run_id, 'SUCCESS' AS status, (SELECT count(*) FROM media) AS media_count,
+               (SELECT count(*) FROM landed_files) + n AS bronze_object_count, n AS visitor_objects_written,
+               media_id, endpoint,
+               CASE WHEN endpoint IN ('events', 'media_daily_stats') THEN '2023-11-03' END AS start_date,
+               CASE WHEN endpoint IN ('events', 'media_daily_stats') THEN '2024-01-31' END AS end_date,
+               count(*) AS pages_fetched, CAST(sum(records) AS BIGINT) AS records_fetched, count(*) AS objects,
+               'SUCCESS' AS endpoint_status, '2024-01-31' AS candidate_end
+        FROM landed_files, landed_people GROUP BY media_id, endpoint, n""",
+    "commit_record": """
+        SELECT unnest(['BRONZE_INGESTION', 'SILVER_TRANSFORMATION', 'GOLD_TRANSFORMATION', 'WATERMARK_COMMIT']) AS pipeline_stage,
+               'SUCCESS' AS status, unnest([media, NULL, NULL, NULL]) AS media_count, unnest([NULL, NULL, NULL, media]) AS committed_media,
+               unnest([NULL, 'run-20240131', 'run-20240131', 'run-20240131']) AS bronze_run_ids,
+               unnest([NULL, NULL, NULL, true]) AS names_gold, unnest([NULL, NULL, NULL, 2]) AS decided_on,
+               unnest([NULL, events, NULL, NULL]) AS events, unnest([NULL, NULL, events, NULL]) AS fact_events
+        FROM (SELECT (SELECT count(*) FROM media) AS media, (SELECT count(*) FROM ev JOIN customer ON user_id = c_custkey) AS events)""",
+    "catalog_tables": """
+        SELECT 'dim_media' AS "tableName", count(*) AS "rows" FROM dim_media
+        UNION ALL SELECT 'dim_visitor', count(*) FROM dim_visitor
+        UNION ALL SELECT 'dim_date', count(*) FROM dim_date""",
     "end_to_end": """
         SELECT d.day AS stat_date, d.media_id, p_name AS title, views AS load_count, clicks AS play_count,
                CASE WHEN views > 0 THEN CAST(round(CAST(CAST(CAST(clicks AS DOUBLE) / views * 100 AS VARCHAR)

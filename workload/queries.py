@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +15,12 @@ from reelmart.plans import gold, pipeline, reports, silver
 from reelmart.schemas import GOLD, SILVER
 from reelmart.session import configure, cut_lineage, scratch_path
 from reelmart.sinks import landing as landing_sink
-from reelmart.sinks import tables
+from reelmart.sinks import builds, tables
 from reelmart.sinks.records import utc_now
 from reelmart.sources import control
 from reelmart.sources.control import read_watermark_log
 from reelmart.sources.landing import (
-    CORRUPT, landed_objects, lineage, quarantined, read_landed, require_runs, rows_of_runs, successful_runs,
+    CORRUPT, landed_objects, lineage, quarantined, read_audits, read_landed, require_runs, rows_of_runs, successful_runs,
 )
 from reelmart.streaming import ingest
 from workload import testbed
@@ -104,11 +104,19 @@ def land_engagement(
     date: str = RUN_DATE,
     run_id: str = RUN_ID,
     percent: float | None = None,
+    days: tuple[int, int] | None = None,
 ) -> str:
-    """Land all engagement events as JSON pages of one run; returns the landing folder."""
+    """Land engagement events as JSON pages of one run; returns the landing folder.
+
+    All of them, or, as a run with a date window does, those of the dates between the given
+    numbers of days after the first one.
+    """
     base = base or scratch_path(spark, "landing")
     seen = F.least("value", F.lit(100.0)) if percent is None else F.lit(percent)
     rows = testbed.event_payload(spark, sf_dir).withColumn("percent_viewed", seen)
+    if days:
+        first = testbed.events(spark, sf_dir).agg(F.min("day")).first()[0]
+        rows = rows.filter(F.col("day").between(*[F.date_add(F.lit(first), n) for n in days]))
     rows = rows.select("path_media", "ts", "event_id", *PAYLOAD)
     pages = paging.page_payloads(
         rows.select("path_media").distinct(), rows, "path_media", PAYLOAD, ["ts", "event_id"]
@@ -143,6 +151,85 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.join(committed, "media_id", "left")
 
 
+def land_run(spark: SparkSession, sf_dir: str, layout: pipeline.Layout, date: str, run_id: str, **events) -> None:
+    """One ingestion run: documents and event pages of all media, visitors of its events, the audit record."""
+    endpoints = [*testbed.documents(spark, sf_dir), "events", "visitors"]
+    for name, documents in testbed.documents(spark, sf_dir).items():
+        landing_sink.land_documents(documents, layout.landing, name, date, run_id)
+    land_engagement(spark, sf_dir, layout.landing, date, run_id, **events)
+    keys = paging.visitor_discovery(read_landed(spark, layout.landing, "events", [date]))
+    landing_sink.land_visitors(testbed.visitor_documents(keys, spark, sf_dir), layout.landing, date, run_id)
+    windows = incremental.date_windows(media(spark, sf_dir), read_watermark_log(spark, layout.control), F.lit(date).cast("date"))
+    manifest = landing_sink.read_manifest(spark, layout.landing, date, run_id, endpoints)
+    pipeline.record_landing(spark, layout, run_id, date, f"{date}T02:00:00+00:00", windows, manifest)
+
+
+def second_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three silver builds; per event what it says, and which build wrote the partition it lies in.
+
+    The first run lands all events, the second those of the sixth date and later, with new
+    values. A run before both, of the first two dates, is approved last: its partitions are
+    written again, its values are older and must not win.
+    """
+    layout, written = fresh_layout(spark), {}
+    landings = [
+        ("2024-01-30", "run-20240130", {"percent": 0.0}),
+        ("2024-01-31", "run-20240131", {"days": (5, 100_000)}),
+        ("2024-01-29", "run-20240129", {"percent": 1.0, "days": (0, 1)}),
+    ]
+    for number, (date, run_id, events) in enumerate(landings, 1):
+        land_run(spark, sf_dir, layout, date, run_id, **events)
+        written[pipeline.run_silver(spark, layout)["run_id"]] = number
+    build = builds.current(spark, layout.silver_db, layout.silver)
+    folder = [(dict(p.spec)["event_date"], next(n for run, n in written.items() if run in p.path)) for p in build.of("events")]
+    by_build = spark.createDataFrame(folder, "day string, build int")
+    rows = spark.table(f"{layout.silver_db}.events").select(*STREAMED, "run_id")
+    return rows.join(by_build, F.col("event_date").cast("string").eqNullSafe(F.col("day"))).drop("day")
+
+
+def landing_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit record of a landed run, a row per media and endpoint beside its totals."""
+    layout = fresh_layout(spark)
+    land_run(spark, sf_dir, layout, RUN_DATE, RUN_ID)
+    record = read_audits(spark, layout.audit)
+    totals = ["run_id", "status", "media_count", "bronze_object_count", "visitor_objects_written"]
+    ends = F.col("candidate_watermark.events")
+    per_endpoint = record.select(*[F.col(c) for c in totals], ends.alias("ends"), F.inline("endpoint_audit").alias(
+        "media_id", "endpoint", "start_date", "end_date", "pages_fetched", "records_fetched", "objects", "endpoint_status"))
+    return per_endpoint.withColumn("candidate_end", F.col("ends")[F.col("media_id")]["last_successful_end_date"]).drop("ends")
+
+
+def commit_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all stages of one run up to the commit: what each names and counts."""
+    layout = fresh_layout(spark)
+    land_run(spark, sf_dir, layout, RUN_DATE, RUN_ID)
+    pipeline.run(spark, layout)
+    stages = read_audits(spark, layout.audit)
+    gold_id = stages.filter("pipeline_stage = 'GOLD_TRANSFORMATION'").select(F.col("run_id").alias("_gold")).first()[0]
+    return stages.select(
+        "pipeline_stage", "status", "media_count", "committed_media",
+        F.array_join("bronze_run_ids", ",").alias("bronze_run_ids"),
+        (F.col("gold_run_id") == gold_id).alias("names_gold"),
+        F.when(F.col("audit_keys").isNotNull(), F.size("audit_keys")).alias("decided_on"),
+        F.col("row_counts")["events"].alias("events"),
+        F.col("row_counts")["fact_engagement_event"].alias("fact_events"),
+    )
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of a published gold database that its readers use."""
+    layout = fresh_layout(spark)
+    need = ("media", "media_daily_stats", "events", "visitors")
+    frames = gold.build_gold({name: silver_table(name, spark, sf_dir) for name in need})
+    staged = tables.stage_all({name: df for name, df in frames.items() if name.startswith("dim_")}, f"{layout.gold}/run_id=1", GOLD)
+    contracts = {name: GOLD[name] for name in staged}
+    parts = [p for name, (df, _) in staged.items() for p in builds.written_parts(name, df, contracts[name])]
+    builds.switch(spark, layout.gold_db, layout.gold, "1", parts, contracts)
+    counted = [spark.table(f"{layout.gold_db}.{name}").agg(F.lit(name).alias("tableName"), F.count(F.lit(1)).alias("rows")) for name in contracts]
+    listed = tables.list_tables(spark, layout.gold_db)
+    return listed.join(reduce(DataFrame.unionByName, counted), "tableName")
+
+
 def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Endpoint audit from the landed files themselves."""
     layout = fresh_layout(spark)
@@ -498,6 +585,10 @@ QUERIES: dict[str, Query] = {
     "catalog_partitions": catalog_partitions,
     "run_audit_counts": run_audit_counts,
     "landing_audit": landing_audit,
+    "landing_record": landing_record,
+    "commit_record": commit_record,
+    "second_build": second_build,
+    "catalog_tables": catalog_tables,
     "end_to_end": end_to_end,
     "lineage_from_path": lineage_from_path,
     "successful_run_rows": successful_run_rows,
