@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ class WordEncoder:
     of special tokens go to the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 40 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -38,15 +38,22 @@ class WordEncoder:
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
-        self.limit = limit
+        self.held, self.limit = 0, limit  # bytes, about
 
     def library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    @staticmethod
+    def cost(words: Iterable[str]) -> int:
+        """Bytes that words take with their ids: two objects, a place in the table, and what they hold."""
+        return sum(200 + 6 * len(w) for w in words)
+
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.limit:
+        if self.held + self.cost(words) > self.limit:
             self.known.clear()
+            self.held = 0
         fresh = [w for w in words if w not in self.known]
+        self.held += self.cost(fresh)
         ids = self.library(" ".join(fresh))
         stops = np.flatnonzero(self.word_end[ids]) + 1
         if len(stops) != len(fresh):
@@ -63,7 +70,7 @@ class WordEncoder:
         words = [[] if w else WORDS.findall(t) for t, w in zip(lowered, whole)]
         fresh = set().union(*words).difference(self.known)
         if fresh:
-            self.learn(set().union(*words) if len(self.known) + len(fresh) > self.limit else fresh)
+            self.learn(set().union(*words) if self.held + self.cost(fresh) > self.limit else fresh)
         known = self.known.__getitem__
         return [self.library(t).tobytes() if w else b"".join(map(known, ws)) for t, w, ws in zip(texts, whole, words)]
 
