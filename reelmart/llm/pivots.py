@@ -31,7 +31,8 @@ PIVOTS, SAMPLE = 32, 1_000  # pivots are chosen from so many vectors
 TILE, BATCH = 4096, 1024  # vectors of a tile, queries that meet it together
 FIRST = 256  # vectors a query's first cells hold together
 EXACT = float(1 << 52)  # products of norms below this have exact scores in double precision
-SLACK = 2e-7  # relative error of a stored distance, generously
+SLACK = 4e-7  # relative error of a stored distance and of a difference of two, generously
+FEW_PIVOTS = 8  # tried on all vectors of a tile; the others only on what these leave
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 POINT = "cid long, least_id long, dim int, vector binary, norm double, near int, distances binary"
@@ -227,23 +228,33 @@ def tile_results(points: pa.Table, queries: pa.Table, keep: int) -> tuple[list,
     exact, asked = exact[:, :width], asked[:, :width]
     x = exact.astype(np.float64)
     norms, q_norms = (t.column("norm").to_numpy() for t in (points, queries))
-    distances, q_distances = distances_of(points).astype(np.float64), distances_of(queries).astype(np.float64)
+    distances, q_distances = distances_of(points), distances_of(queries)
     columns = np.ascontiguousarray(distances.T)
     cids, least = (points.column(c).to_pylist() for c in ("cid", "least_id"))
     tie = np.array([HIGHEST if v is None else v for v in least], np.int64)
     floors = queries.column("reached").to_numpy(zero_copy_only=False).astype(np.float64)
+    slack = np.float32(SLACK)
     out: tuple[list, list, list, list] = [], [], [], []
     for a in range(0, queries.num_rows, 64):
         some = slice(a, a + 64)
-        gap = np.zeros((len(q_norms[some]), len(norms)))
-        for k in range(columns.shape[0]):
+        gaps = np.zeros((len(q_norms[some]), len(norms)), np.float32)
+        for k in range(min(FEW_PIVOTS, len(columns))):
             d = q_distances[some, k, None]
             with np.errstate(invalid="ignore"):
-                np.fmax(gap, np.abs(d - columns[k]) - SLACK * (d + columns[k]), out=gap)
-        bounds = score_bounds(q_norms[some, None], norms[None, :], gap)
-        for k in range(len(bounds)):
-            own, floor = bounds[k], floors[a + k]
-            alive = np.arange(len(own)) if np.isnan(floor) else np.flatnonzero(own >= floor)
+                np.fmax(gaps, np.abs(d - columns[k]) - slack * (d + columns[k]), out=gaps)
+        rough = score_bounds(q_norms[some, None], norms[None, :], gaps.astype(np.float64))
+        for k in range(len(rough)):
+            floor = floors[a + k]
+            alive = np.arange(len(norms)) if np.isnan(floor) else np.flatnonzero(rough[k] >= floor)
+            gap, d = gaps[k, alive], q_distances[a + k, FEW_PIVOTS:, None]
+            if len(d) and len(alive):
+                others = columns[FEW_PIVOTS:, alive]
+                with np.errstate(invalid="ignore"):
+                    gap = np.fmax(gap, np.fmax.reduce(np.abs(d - others) - slack * (d + others), axis=0))
+            own = np.full(len(norms), float(LOWEST))
+            own[alive] = score_bounds(q_norms[a + k], norms[alive], gap.astype(np.float64))
+            if not np.isnan(floor):
+                alive = alive[own[alive] >= floor]
             alive = alive[np.argsort(-own[alive], kind="stable")]
             small = bool(np.sqrt(q_norms[a + k]) * np.sqrt(norms.max()) < EXACT)
             q = asked[a + k].astype(np.float64) if small else asked[a + k]
