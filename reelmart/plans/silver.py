@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import asset_count, iso_date, iso_timestamp
-from reelmart.operators.dedup import latest_by
+from reelmart.operators.dedup import newest_per
 from reelmart.operators.layers import of_keys
 from reelmart.schemas import SILVER, SILVER_SOURCES
 from reelmart.session import small_side
@@ -32,7 +32,7 @@ def _newest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     which settle all other lineage, then to the payload."""
     lineage = ("run_id", SOURCE, "ingested_at", "ingestion_date", "media_id_from_path")
     payload = [c for c in rows.columns if c not in (*keys, *lineage)]
-    return latest_by(rows, keys, order, ["run_id", SOURCE, *payload])
+    return newest_per(rows, keys, order, ["run_id", SOURCE, *payload])
 
 
 def silver_media(landed: DataFrame, runs: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def with_new_runs(name: str, published: DataFrame, added: DataFrame) -> DataFram
     """
     contract = SILVER[name]
     both = published.select(*contract.names).unionByName(added)
-    return latest_by(both, list(contract.key), [F.desc_nulls_last(c) for c in NEWER[name]], ["run_id"])
+    return newest_per(both, list(contract.key), [F.desc_nulls_last(c) for c in NEWER[name]], ["run_id"])
 
 
 # Tables without partitions take new rows as a layer beside their base instead of being written again.

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.functions.scalars import iso_date, iso_timestamp
-from reelmart.operators.dedup import latest_by
+from reelmart.operators.dedup import newest_per
 from reelmart.schemas import AUDIT, PAYLOADS
 from reelmart.session import small_side
 
@@ -112,7 +112,7 @@ def successful_runs(audits: DataFrame) -> DataFrame:
     runs = audits.filter(F.col("status") == "SUCCESS").select(
         "run_id", iso_timestamp(F.col("start_ts")).alias("ingested_at")
     )
-    return latest_by(runs, ["run_id"], [F.desc_nulls_last("ingested_at")])
+    return newest_per(runs, ["run_id"], [F.desc_nulls_last("ingested_at")])
 
 
 def require_runs(runs: DataFrame) -> DataFrame:

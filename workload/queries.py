@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelmart.functions import json_profile, scalars
 from reelmart.operators import incremental, paging, quality
-from reelmart.operators.dedup import latest_by, latest_event_per_visitor, snapshot_per
+from reelmart.operators.dedup import newest_per, last_event_of_visitors, snapshot_per
 from reelmart.plans import gold, pipeline, reports, silver
 from reelmart.schemas import GOLD, SILVER
 from reelmart.session import configure, cut_lineage, scratch_path
@@ -304,7 +304,7 @@ def successful_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = testbed.table(spark, sf_dir, "orders")
-    return latest_by(orders, ["o_custkey"], [F.desc_nulls_last("o_orderdate")], ["o_orderkey"])
+    return newest_per(orders, ["o_custkey"], [F.desc_nulls_last("o_orderdate")], ["o_orderkey"])
 
 
 def snapshot_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,7 +315,7 @@ def snapshot_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole row of the newest event, so that ties show."""
     columns = ["visitor_key", "received_at", "ip_address", "country", "region", "city"]
-    return latest_event_per_visitor(events(spark, sf_dir).select(*columns))
+    return last_event_of_visitors(events(spark, sf_dir).select(*columns))
 
 
 def required_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
