@@ -29,7 +29,7 @@ class WordEncoder:
     of special tokens go to the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 40 << 20):
+    def __init__(self, path: str, limit: int = 120 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
