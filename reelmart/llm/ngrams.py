@@ -5,7 +5,9 @@ document enters each band in which it can have one. In a band, two sets that fit
 at most d shingles, so if shingles are dealt by hash to more than d parts, one part is the
 same in both. (band, part, contents) names a tile; only members of a tile are compared:
 first by hashed parity bitmaps, whose differing bits bound the overlap from above, then by
-exact intersection of the sorted shingle arrays.
+exact intersection of the sorted shingle arrays. Sketches, bitmaps folded to a quarter of
+their width, give a weaker bound; tiles are compared by them, so that passages which many
+documents share move little, and only pairs they leave open move bitmaps and sets.
 
 The first pass compares each member of a tile with its least member, the second with the
 one that shares the most tiles with others. What is linked by then forms components; only
@@ -149,15 +151,20 @@ def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
     return bitmap
 
 
+def sketch(bitmap: np.ndarray) -> np.ndarray:
+    """A quarter of the bitmap's width: half a bit to one per shingle, enough to tell sets apart that share little."""
+    return folded(bitmap, max(LEAST_BITS // 64, len(bitmap) // 4))
+
+
 def text_hash() -> Column:
     """Tells rows with the same id apart."""
     return F.xxhash64("text").alias("text_hash")
 
 
 def signatures(docs: DataFrame, law: Law) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, digest_a, digest_b, bitmap`` of each row."""
+    """``doc_id, text_hash, n_shingles, digest_a, digest_b, bitmap, sketch`` of each row."""
     source = docs.select("doc_id", "text", text_hash())
-    schema = f"doc_id {dict(source.dtypes)['doc_id']}, text_hash long, n_shingles long, digest_a long, digest_b long, bitmap array<long>"
+    schema = f"doc_id {dict(source.dtypes)['doc_id']}, text_hash long, n_shingles long, digest_a long, digest_b long, bitmap array<long>, sketch array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -165,16 +172,17 @@ def signatures(docs: DataFrame, law: Law) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 sets = [shingle_set(t.as_py(), law.words, known) for t in part.column(1)]
-                digests = [digest(s) for s in sets]
+                digests, bitmaps = [digest(s) for s in sets], [parity_bitmap(s) for s in sets]
                 columns = [
                     part.column(0),
                     part.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
-                    pa.array([parity_bitmap(s) for s in sets], pa.list_(pa.int64())),
+                    pa.array(bitmaps, pa.list_(pa.int64())),
+                    pa.array([sketch(b) for b in bitmaps], pa.list_(pa.int64())),
                 ]
-                yield pa.record_batch(columns, ["doc_id", "text_hash", "n_shingles", "digest_a", "digest_b", "bitmap"])
+                yield pa.record_batch(columns, ["doc_id", "text_hash", "n_shingles", "digest_a", "digest_b", "bitmap", "sketch"])
 
     return source.mapInArrow(run, schema)
 
@@ -269,7 +277,7 @@ def verified(pairs: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
 
 
 def overlap_bound(left: str, right: str) -> Column:
-    """Largest possible intersection by the bitmaps: bits that differ are shingles of one side only.
+    """Largest possible intersection by the bitmaps (or sketches): bits that differ are shingles of one side only.
 
     Of two widths the wider one is folded until both are equal.
     """
@@ -285,21 +293,26 @@ def overlap_bound(left: str, right: str) -> Column:
 
 
 def bounded(pairs: DataFrame, classes: DataFrame, law: Law) -> DataFrame:
-    """Those of ``pairs`` (a, b) that sizes and bitmaps leave possible."""
-    side = lambda name: classes.select(F.col("cid").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("bitmap").alias(f"{name}_bitmap"))
+    """Those of ``pairs`` (a, b) that sizes and bitmaps leave possible.
+
+    Sizes rule out much of what cannot fit before any bits are moved, sketches most of the
+    rest before whole bitmaps are.
+    """
     sizes = classes.select("cid", F.col("n_shingles").alias("n"))
     sized = pairs.join(sizes.withColumnsRenamed({"cid": "a", "n": "an"}), "a").join(sizes.withColumnsRenamed({"cid": "b", "n": "bn"}), "b")
-    # Sizes alone rule out most of what cannot fit, before any bitmap is moved.
-    sized = sized.filter(law.enough(F.least("an", "bn"), F.col("an") + F.col("bn"))).select("a", "b")
-    joined = sized.join(side("a"), "a").join(side("b"), "b")
-    return joined.filter(law.enough(overlap_bound("a", "b"), F.col("a_n") + F.col("b_n"))).select("a", "b")
+    pairs = sized.filter(law.enough(F.least("an", "bn"), F.col("an") + F.col("bn"))).select("a", "b")
+    for bits in ("sketch", "bitmap"):
+        for end in ("a", "b"):
+            pairs = pairs.join(classes.select(F.col("cid").alias(end), F.col("n_shingles").alias(f"{end}_n"), F.col(bits).alias(f"{end}_bitmap")), end)
+        pairs = pairs.filter(law.enough(overlap_bound("a", "b"), F.col("a_n") + F.col("b_n"))).select("a", "b")
+    return pairs
 
 
 def tile_survivors(columns: dict[str, np.ndarray], start: int, stop: int, law: Law) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one tile in different components that sizes and bitmaps leave possible."""
+    """Pairs of one tile in different components that sizes and sketches leave possible."""
     own = slice(start, stop)
     cid, size, root, side = (columns[c][own] for c in ("cid", "n_shingles", "root", "_side"))
-    maps = columns["bitmap"][start:stop]
+    maps = columns["sketch"][start:stop]
     words = min(len(m) for m in maps)
     bitmap = np.array([folded(m, words) for m in maps])
     split = columns["_i"][start] != columns["_j"][start]
@@ -323,16 +336,16 @@ def tile_survivors(columns: dict[str, np.ndarray], start: int, stop: int, law: L
 def cross_component_pairs(members: DataFrame, classes: DataFrame, law: Law, block: int = TILE_BLOCK) -> DataFrame:
     """Distinct pairs within tiles of several components; ``members`` has ``key, size, cid, root``."""
     order = ["key", "_i", "_j"]
-    tiles = spread_blocks(members, "key", "size", "cid", block).join(classes.select("cid", "n_shingles", "bitmap"), "cid")
-    tiles = tiles.select(*order, "_side", "cid", "root", "n_shingles", "bitmap").repartition(*order).sortWithinPartitions(*order)
+    tiles = spread_blocks(members, "key", "size", "cid", block).join(classes.select("cid", "n_shingles", "sketch"), "cid")
+    tiles = tiles.select(*order, "_side", "cid", "root", "n_shingles", "sketch").repartition(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, borders in whole_groups(batches, len(order)):
-            columns = {c: rows.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in rows.schema.names if c != "bitmap"}
-            maps = rows.column("bitmap").combine_chunks()
+            columns = {c: rows.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in rows.schema.names if c != "sketch"}
+            maps = rows.column("sketch").combine_chunks()
             cuts = np.concatenate([[0], np.cumsum(maps.value_lengths().to_numpy())])
             flat = maps.flatten().to_numpy()
-            columns["bitmap"] = [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            columns["sketch"] = [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
             for start, stop in zip(borders[:-1].tolist(), borders[1:].tolist()):
                 if stop - start > 1:
                     a, b = tile_survivors(columns, start, stop, law)
@@ -377,10 +390,15 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 
 def mixed_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (key, cid) of tiles that hold several components, with ``root`` and the tile's ``size``."""
+    """Members (key, cid) of tiles that hold several components, with ``root`` and the tile's ``size``.
+
+    Of tiles with the same members, told by 128 bits, one is enough.
+    """
     rooted = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    tiles = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
-    return rooted.join(tiles.filter("low <> high AND size > 2").select("key", "size"), "key")
+    names = [F.bit_xor(F.xxhash64(F.lit(salt), "cid")).alias(name) for salt, name in ((11, "name_a"), (12, "name_b"))]
+    tiles = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), *names)
+    tiles = tiles.filter("low <> high AND size > 2").groupBy("size", "name_a", "name_b").agg(F.min("key").alias("key"))
+    return rooted.join(tiles.select("key", "size"), "key")
 
 
 def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -389,7 +407,7 @@ def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     signed = cut_lineage(signatures(docs, law), "signatures")
     digests = ["digest_a", "digest_b", "n_shingles"]
     filled = signed.filter("n_shingles > 0")
-    classes = filled.groupBy(*digests).agg(F.min("doc_id").alias("doc_id"), F.any_value("bitmap").alias("bitmap"))
+    classes = filled.groupBy(*digests).agg(F.min("doc_id").alias("doc_id"), F.any_value("bitmap").alias("bitmap"), F.any_value("sketch").alias("sketch"))
     classes = classes.withColumns({"cid": F.monotonically_increasing_id(), "tag": F.col("digest_a").bitwiseAND(F.lit(TAG))})
     classes = cut_lineage(classes, "classes")
     least = F.min("tag").over(Window.partitionBy("key").orderBy("tag"))

@@ -169,3 +169,26 @@ def test_bitmaps_of_widths_that_differ_by_more_than_two_are_folded_in_full(spark
     frame = spark.createDataFrame(rows, "a_n long, a_bitmap array<long>, b_n long, b_bitmap array<long>")
     bounds = frame.select(ngrams.overlap_bound("a", "b"), ngrams.overlap_bound("b", "a")).collect()
     assert [tuple(r) for r in bounds] == [(9, 9)] * 4
+
+
+def test_sketches_and_bitmaps_never_bound_too_low(spark):
+    """The bound on the intersection holds at both widths, also between sets of different widths."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for size in (3, 60, 300, 2_000):
+        for other in (size, size + size // 4, 2 * size):
+            a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 2**63, other - size // 2, dtype=np.uint64)]))
+            bits = [ngrams.parity_bitmap(s) for s in (a, b)]
+            for p, q in (bits, map(ngrams.sketch, bits)):
+                rows.append((len(a), len(b), p.tolist(), q.tolist(), len(np.intersect1d(a, b))))
+    frame = spark.createDataFrame(rows, "a_n long, b_n long, a_bitmap array<long>, b_bitmap array<long>, shared long")
+    got = frame.select("shared", ngrams.overlap_bound("a", "b").alias("most")).collect()
+    assert len(got) == 24 and all(r.shared <= r.most for r in got)
+
+
+def test_tiles_of_the_same_members_are_compared_once(spark):
+    members = [(key, cid) for key, own in ((1, (1, 2, 3)), (2, (3, 2, 1)), (3, (1, 2, 4)), (4, (1, 2)), (5, (5, 6, 7))) for cid in own]
+    roots = spark.createDataFrame([(5, 5), (6, 5), (7, 5)], "node long, root long")
+    got = ngrams.mixed_tiles(spark.createDataFrame(members, "key long, cid long"), roots).collect()
+    assert sorted((r.key, r.cid, r["size"]) for r in got) == [(k, c, 3) for k, own in ((1, (1, 2, 3)), (3, (1, 2, 4))) for c in own]
