@@ -85,6 +85,67 @@ def own_flags(tag: str, attributes: str) -> int:
     return flags
 
 
+class OpenTags:
+    """Open elements with their flags; knows where those of a name lie, so that no tag searches the stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.outer: list[int] = []  # places of elements that are not inline
+
+    def push(self, tag: str, flags: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.outer.append(len(self.stack))
+        self.stack.append((tag, flags))
+
+    def pop(self) -> tuple[str, int]:
+        tag, flags = self.stack.pop()
+        self.places[tag].pop()
+        if tag not in INLINE:
+            self.outer.pop()
+        return tag, flags
+
+    def top(self) -> str | None:
+        return self.stack[-1][0] if self.stack else None
+
+    def flags(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
+
+    def close(self, tag: str) -> None:
+        """The innermost element of this name with all inside it; an inline tag closes nothing beyond its block."""
+        if not self.places.get(tag):
+            return
+        place = self.places[tag][-1]
+        if tag in INLINE and self.outer and self.outer[-1] > place:
+            return
+        while len(self.stack) > place:
+            self.pop()
+
+    def make_room(self, tag: str) -> None:
+        """Closes what an element that is not inline ends by starting."""
+        repeats = tag in CLOSES_ITSELF
+        while self.stack:
+            last = self.top()
+            if last in INLINE:
+                if not self.places.get("p") and not (repeats and self.places.get(tag)):
+                    return
+            elif last != "p" and not (repeats and last == tag):
+                return
+            self.pop()
+
+    def drop(self, *tags: str) -> None:
+        """Takes elements of these names out and leaves what is open inside them."""
+        lowest = min((self.places[t][0] for t in tags if self.places.get(t)), default=len(self.stack))
+        kept = []
+        while len(self.stack) > lowest:
+            tag, flags = self.pop()
+            if tag not in tags:
+                kept.append((tag, flags))
+        for tag, flags in reversed(kept):
+            self.push(tag, flags)
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks in page order: whitespace-normalised, with character references decoded, none empty.
 
@@ -92,7 +153,7 @@ def leaf_blocks(page: str) -> list[Block]:
     dropped, script, style and the like are skipped with their contents, so is the head. The
     head ends at the first tag or text that cannot stand in it.
     """
-    stack: list[tuple[str, int]] = []
+    opened = OpenTags()
     blocks: list[Block] = []
     parts: list[str] = []
     flags, linked, at = 0, 0, 0
@@ -110,9 +171,9 @@ def leaf_blocks(page: str) -> list[Block]:
 
     def leave_head() -> None:
         nonlocal flags
-        if stack and stack[-1][0] == "head":
-            stack.pop()
-            flags = stack[-1][1] if stack else 0
+        if opened.top() == "head":
+            opened.pop()
+            flags = opened.flags()
 
     def add(text: str) -> None:
         nonlocal linked, block_flags
@@ -141,29 +202,21 @@ def leaf_blocks(page: str) -> list[Block]:
         if not inline:
             close_block()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if inline and stack[k][0] not in INLINE:
-                    break
-            flags = stack[-1][1] if stack else 0
+            opened.close(tag)
+            flags = opened.flags()
             continue
         if flags & HEAD and tag not in IN_HEAD:
             leave_head()
         if tag in VOID or attributes.endswith("/"):
             continue
         if not inline:
-            while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p" or (stack[-1][0] == tag and tag in CLOSES_ITSELF)):
-                if stack[-1][0] in INLINE and not any(name in ("p", tag) and name in CLOSES_ITSELF for name, _ in stack):
-                    break
-                stack.pop()
+            opened.make_room(tag)
         if tag == "body":
-            stack = [s for s in stack if s[0] not in ("head", "title")]
-        flags = (stack[-1][1] if stack else 0) | own_flags(tag, attributes)
+            opened.drop("head", "title")
+        flags = opened.flags() | own_flags(tag, attributes)
         if "data-truth" in attributes and (mark := TRUTH.search(attributes)):
             flags = flags | LABEL if mark.group(1) == "1" else flags & ~LABEL
-        stack.append((tag, flags))
+        opened.push(tag, flags)
     add(page[at:])
     close_block()
     return blocks

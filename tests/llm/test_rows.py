@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -196,6 +197,17 @@ def test_blocks_after_elements_that_only_look_skipped():
     assert texts("<p>a</p><svg viewBox='0'><path d='M0'/><text>b</text></svg ><p>c<select><option>d</select>") == ["a", "c"]
 
 
+def test_blocks_of_many_unclosed_tags():
+    """No tag searches the stack: time grows with the page."""
+    many = 20_000
+    texts = lambda page: [b.text for b in html.leaf_blocks(page)]
+    start = time.process_time()
+    assert texts("<b>" * many + "<p>x" * many) == ["x"] * many
+    assert texts("<i><div>" + "<b>" * many + "a" + "</i>" * many + "b") == ["ab"]
+    assert texts("<title><body>" * many + "a") == ["a"]
+    assert time.process_time() - start < 10
+
+
 def test_blocks_of_pages_that_leave_out_the_end_of_the_head():
     texts = lambda page: [b.text for b in html.leaf_blocks(page)]
     assert texts("<html><head><meta charset=x><title>t <b>u</b></title><link rel=y><p>a<p>b") == ["a", "b"]
