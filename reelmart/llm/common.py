@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -21,11 +22,15 @@ def worker_once(key: Any, build: Callable[[], Any]) -> Any:
     """``build()``, kept for the life of the Python worker process.
 
     Functions sent by value come with fresh globals in each task, so what is costly to
-    build (vocabularies) hangs on a module of the process instead.
+    build (vocabularies) hangs on a module of the process instead. Spark uses a process for
+    one stage after the other: what an earlier one built goes when another needs room.
     """
     state = sys.modules.setdefault("reelmart_worker_state", types.ModuleType("reelmart_worker_state"))
     kept = state.__dict__.setdefault("kept", {})
     if key not in kept:
+        kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         kept[key] = build()
     return kept[key]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -13,30 +14,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from reelmart.llm.bpe import BEYOND_LATIN, LATIN_LETTER, LATIN_NUMBER, LATIN_SPACE
+from reelmart.llm.bpe import BEYOND_LATIN, LATIN_LETTER, LATIN_NUMBER, LATIN_SPACE, byte_letters
 from reelmart.llm.common import worker_once
 from reelmart.session import cut_lineage
 
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTER}]+|[{LATIN_NUMBER}]|[^{LATIN_SPACE}{LATIN_LETTER}{LATIN_NUMBER}]+")
 
+BYTE_LETTERS = {b: letter for letter, b in byte_letters().items()}
+
 
 class WordEncoder:
     """Ids of whole texts by the library, with its ids of single words kept.
 
-    The vocabulary splits lower-cased text into words that are encoded on their own, and
-    marks the last token of each word. So all new words of some texts are encoded in one
-    call and parted again at these marks. Texts with letters beyond U+024F or with strings
-    of special tokens go to the library whole.
+    The vocabulary splits lower-cased text into words that are encoded on their own, as their
+    UTF-8 bytes. So new words go straight to the library's model; composed letters up to U+024F
+    stay as they are in normalisation. Texts with letters beyond or with strings of special
+    tokens go to the library whole.
+
+    Words beyond ``limit`` bytes push out the later half of those kept: common words are
+    met early, most of the later ones occur once.
     """
 
-    def __init__(self, path: str, limit: int = 120 << 20):
+    def __init__(self, path: str, limit: int = 80 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.held, self.limit = 0, limit  # bytes, about
 
@@ -50,18 +54,18 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> None:
         if self.held + self.cost(words) > self.limit:
-            self.known.clear()
-            self.held = 0
+            self.known = dict(islice(self.known.items(), len(self.known) // 2))
+            self.held = self.cost(self.known)
+        if self.held + self.cost(words) > self.limit:
+            self.known, self.held = {}, 0
         fresh = [w for w in words if w not in self.known]
         self.held += self.cost(fresh)
-        ids = self.library(" ".join(fresh))
-        stops = np.flatnonzero(self.word_end[ids]) + 1
-        if len(stops) != len(fresh):
-            raise ValueError("the vocabulary does not mark word ends")
+        tokens = [[t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(BYTE_LETTERS))] for w in fresh]
+        ids = np.fromiter(chain.from_iterable(tokens), "<u4").tobytes()
         start = 0
-        for word, stop in zip(fresh, (4 * stops).tolist()):
-            self.known[word] = ids.data[start // 4 : stop // 4].tobytes()
-            start = stop
+        for word, own in zip(fresh, tokens):
+            self.known[word] = ids[start : start + 4 * len(own)]
+            start += 4 * len(own)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32-bit."""

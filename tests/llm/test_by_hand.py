@@ -7,7 +7,7 @@ import pytest
 import public_tokenizers
 
 import corpus_pipeline
-from reelmart.llm import language, packing, quality, sharding
+from reelmart.llm import common, language, packing, quality, sharding
 
 
 def permuted_by_hand(number, rows, seed):
@@ -86,6 +86,33 @@ def test_words_are_forgotten_by_bytes():
     assert whole.encode_all(texts) == [whole.library(t).tobytes() for t in texts]
 
 
+def test_common_words_outlast_rare_ones():
+    coder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), limit=10_000)
+    common = "the of and to in a"
+    coder.encode_all([common])
+    kept = []
+    for n in range(40):
+        text = f"{common} rare{'xyz'[n % 3] * (n // 3 + 1)} once{'abc'[n % 3] * (n // 3 + 1)}"
+        assert coder.encode_all([text]) == [coder.library(text).tobytes()]
+        kept.append(len(coder.known))
+    assert any(b < a for a, b in zip(kept, kept[1:])), "the limit was met"
+    assert min(kept[5:]) > len(common.split()) + 3, "and not all words went"
+
+
+def test_words_of_all_latin_bytes_are_the_librarys():
+    coder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    signs = [chr(c) for c in range(1, 0x250)]
+    texts = ["".join(signs), " ".join(signs), " ".join(f"ab{s}cd {s}{s} don't{s}" for s in signs)]
+    assert coder.encode_all(texts) == [coder.library(t).tobytes() for t in texts]
+
+
+def test_a_worker_keeps_only_what_its_stage_needs():
+    first = common.worker_once("first of two", list)
+    assert common.worker_once("first of two", list) is first
+    common.worker_once("second of two", list)
+    assert common.worker_once("first of two", list) is not first
+
+
 def test_labels_of_both_kinds_and_repeated_ids_do_not_decide_the_draw(spark):
     docs = [(n, f"line {n} of text\nanother line here") for n in range(20)] + [(3, "shorter text"), (None, "no id")]
     labels = [(n, n % 2) for n in range(20)] + [(5, 0), (None, 1), (7, None)]
