@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelmart.operators import paging
-from reelmart.sinks.landing import land_pages, land_visitors
+from reelmart.sinks import landing as landing_sink
+from reelmart.sinks.landing import land_documents, land_pages, land_visitors
 from reelmart.sources.landing import landed_objects, read_landed
 from tests.conftest import rows
 
@@ -124,3 +125,39 @@ def test_endpoint_audit(spark):
 def test_visitor_discovery(spark):
     df = spark.createDataFrame([("b",), ("a",), ("",), (None,), ("a",)], "visitor_key string")
     assert [r[0] for r in paging.visitor_discovery(df).collect()] == ["a", "b"]
+
+
+ODD_NAMES = ["plain", "a b", "c/d%2F+e", "q?=[x]{y}:*\"'#\\^|<>~", "ä\t", "", None, None]
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_files_made_by_tasks_read_back_as_those_of_sparks_writer(spark, tmp_path, monkeypatch, mounted):
+    """Odd, empty and missing names, and two documents of one name; few files to a task."""
+    monkeypatch.setattr(landing_sink, "FILES_PER_TASK", 2)
+    if not mounted:
+        monkeypatch.setattr(landing_sink, "local_folder", lambda *_: None)
+    documents = spark.createDataFrame(
+        [(m, json.dumps([{"event_key": f"{k}"}])) for k, m in enumerate(ODD_NAMES)], "media_id string, body string"
+    )
+    old = spark.createDataFrame([("gone", "[]")], documents.schema)
+    for landed in (old, documents):
+        land_documents(landed, f"file://{tmp_path}", "events", "2026-01-01", "r1")
+    found = landed_objects(spark, str(tmp_path), "events")
+    named = [m or "__HIVE_DEFAULT_PARTITION__" for m in ODD_NAMES]
+    assert {r["media_id"] for r in found.collect()} == set(named)
+    texts = [line for p in tmp_path.rglob("media_id=*/*") if p.suffix != ".crc" for line in p.read_text().splitlines()]
+    assert sorted(texts) == sorted(r["body"] for r in documents.collect())
+    folders = {p.name for p in (tmp_path / "events/ingestion_date=2026-01-01/run_id=r1").glob("media_id=*")}
+    documents.write.partitionBy("media_id").text(str(tmp_path / "by-spark"))
+    assert folders == {p.name for p in (tmp_path / "by-spark").glob("media_id=*")}
+
+
+def test_a_visitor_is_one_file_in_few_folders(spark, tmp_path):
+    visitors = spark.range(600).select(
+        F.concat(F.lit("v"), "id").alias("visitor_key"), F.to_json(F.struct(F.concat(F.lit("v"), "id").alias("visitor_key"))).alias("body")
+    )
+    assert land_visitors(visitors, str(tmp_path), "2026-01-01", "r1") == 600
+    run = tmp_path / "visitors/ingestion_date=2026-01-01/run_id=r1"
+    assert len([p for p in run.rglob("*") if p.is_file()]) == 600
+    assert len([p for p in run.rglob("*") if p.is_dir()]) <= 256
+    assert read_landed(spark, str(tmp_path), "visitors").select("visitor_key").distinct().count() == 600
