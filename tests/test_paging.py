@@ -147,6 +147,9 @@ def test_files_made_by_tasks_read_back_as_those_of_sparks_writer(spark, tmp_path
     assert {r["media_id"] for r in found.collect()} == set(named)
     texts = [line for p in tmp_path.rglob("media_id=*/*") if p.suffix != ".crc" for line in p.read_text().splitlines()]
     assert sorted(texts) == sorted(r["body"] for r in documents.collect())
+    if mounted:  # no document hides another of its name
+        keys = [r["event_key"] for r in read_landed(spark, str(tmp_path), "events").collect()]
+        assert sorted(keys) == sorted(str(k) for k in range(len(ODD_NAMES)))
     folders = {p.name for p in (tmp_path / "events/ingestion_date=2026-01-01/run_id=r1").glob("media_id=*")}
     documents.write.partitionBy("media_id").text(str(tmp_path / "by-spark"))
     assert folders == {p.name for p in (tmp_path / "by-spark").glob("media_id=*")}
