@@ -32,6 +32,7 @@ TILE, BATCH = 4096, 1024  # vectors of a tile, queries that meet it together
 FIRST = 256  # vectors a query's first cells hold together
 EXACT = float(1 << 52)  # products of norms below this have exact scores in double precision
 SLACK = 2e-7  # relative error of a stored distance, generously
+SLACK_32 = 4e-7  # the same with the rounding of sums in single precision
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 POINT = "cid long, least_id long, dim int, vector binary, norm double, near int, distances binary"
@@ -220,6 +221,28 @@ def inner_products(x: np.ndarray, exact: np.ndarray, q: np.ndarray, small: bool)
     return np.array([min(HIGHEST, max(LOWEST, sum(int(a) * int(b) for a, b in zip(row, q)))) for row in exact], np.int64)
 
 
+def shrunk_and_grown(distances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances less and plus their error, in single precision; such as say nothing (not finite) bound nothing."""
+    finite = np.isfinite(distances)
+    with np.errstate(over="ignore", invalid="ignore"):
+        less, more = distances * np.float32(1 - SLACK_32), distances * np.float32(1 + SLACK_32)
+    return np.where(finite, less, np.float32(-np.inf)), np.where(finite, more, np.float32(np.inf))
+
+
+def least_gaps(queries: tuple[np.ndarray, np.ndarray], points: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Lower bounds of the distances of queries (row) and points (column), both as ``shrunk_and_grown`` by pivot (row).
+
+    Two differences and two maxima for each pivot, in two buffers: all pairs of a tile come by here.
+    """
+    (q_less, q_more), (less, more) = queries, points
+    gap, work = np.zeros((2, q_less.shape[1], less.shape[1]), np.float32)
+    with np.errstate(over="ignore"):
+        for k in range(len(less)):
+            np.maximum(gap, np.subtract(q_less[k, :, None], more[k], out=work), out=gap)
+            np.maximum(gap, np.subtract(less[k], q_more[k, :, None], out=work), out=gap)
+    return gap
+
+
 def tile_results(points: pa.Table, queries: pa.Table, keep: int) -> tuple[list, list, list, list]:
     """``qid, cid, least_id, score`` of the ``keep`` best vectors of a tile for each query, as far as they may count."""
     exact, asked = vectors_of(points), vectors_of(queries)
@@ -227,19 +250,14 @@ def tile_results(points: pa.Table, queries: pa.Table, keep: int) -> tuple[list,
     exact, asked = exact[:, :width], asked[:, :width]
     x = exact.astype(np.float64)
     norms, q_norms = (t.column("norm").to_numpy() for t in (points, queries))
-    distances, q_distances = distances_of(points).astype(np.float64), distances_of(queries).astype(np.float64)
-    columns = np.ascontiguousarray(distances.T)
+    sides, q_sides = (shrunk_and_grown(np.ascontiguousarray(distances_of(t).T)) for t in (points, queries))
     cids, least = (points.column(c).to_pylist() for c in ("cid", "least_id"))
     tie = np.array([HIGHEST if v is None else v for v in least], np.int64)
     floors = queries.column("reached").to_numpy(zero_copy_only=False).astype(np.float64)
     out: tuple[list, list, list, list] = [], [], [], []
     for a in range(0, queries.num_rows, 64):
         some = slice(a, a + 64)
-        gap = np.zeros((len(q_norms[some]), len(norms)))
-        for k in range(columns.shape[0]):
-            d = q_distances[some, k, None]
-            with np.errstate(invalid="ignore"):
-                np.fmax(gap, np.abs(d - columns[k]) - SLACK * (d + columns[k]), out=gap)
+        gap = least_gaps(tuple(side[:, some] for side in q_sides), sides).astype(np.float64)
         bounds = score_bounds(q_norms[some, None], norms[None, :], gap)
         for k in range(len(bounds)):
             own, floor = bounds[k], floors[a + k]
@@ -247,10 +265,19 @@ def tile_results(points: pa.Table, queries: pa.Table, keep: int) -> tuple[list,
             alive = alive[np.argsort(-own[alive], kind="stable")]
             small = bool(np.sqrt(q_norms[a + k]) * np.sqrt(norms.max()) < EXACT)
             q = asked[a + k].astype(np.float64) if small else asked[a + k]
-            best, scores, start, size = np.empty(0, np.int64), np.empty(0, np.int64), 0, 4 * keep
+            best, scores, whole, start, size = np.empty(0, np.int64), np.empty(0, np.int64), None, 0, 4 * keep
             while start < len(alive) and (len(best) < keep or own[alive[start]] >= scores[-1]):
                 part = alive[start : start + size]
-                best, scores = np.append(best, part), np.append(scores, inner_products(x[part], exact[part], q, small))
+                if small and whole is None and 8 * (start + size) > len(x):
+                    whole = inner_products(x, exact, q, small)  # costs less than picking so many rows
+                if whole is not None:
+                    new = whole[part]
+                else:
+                    new = inner_products(x[part], exact if small else exact[part], q, small)
+                best, scores = np.append(best, part), np.append(scores, new)
+                if len(best) > keep:
+                    high = scores >= np.partition(scores, -keep)[-keep]
+                    best, scores = best[high], scores[high]
                 # the order of scores may not overflow: ~s falls as s rises
                 order = np.lexsort((tie[best], ~scores))[:keep]
                 best, scores = best[order], scores[order]

@@ -216,3 +216,26 @@ def test_bounds_hold_and_stop_the_search():
     assert (bounds >= scores).all()
     kth = np.sort(scores, axis=1)[:, -20]
     assert ((bounds >= kth[:, None]).sum() / bounds.size) < 0.5
+
+
+def test_least_gaps_never_exceed_distances_and_ignore_those_beyond_floats():
+    """In single precision with its rounding; a distance that overflowed says nothing, also beside one that did not."""
+    rng = np.random.default_rng(5)
+    x, q, to = (rng.normal(0, s, (n, 16)) for s, n in ((40, 300), (40, 50), (40, 8)))
+    x[:9] = q[:9] * (1 + 1e-9)
+    one, two = (np.sqrt(((v[:, None] - to[None]) ** 2).sum(2)).astype(np.float32) for v in (q, x))
+    one[20, 3], two[30, 4], two[31], one[21, 5], two[32, 5] = np.inf, np.nan, np.inf, np.inf, np.inf
+    gap = pivots.least_gaps(*(pivots.shrunk_and_grown(np.ascontiguousarray(d.T)) for d in (one, two)))
+    real = np.sqrt(((q[:, None] - x[None]) ** 2).sum(2))
+    assert np.isfinite(gap).all() and (gap <= real).all() and (gap[:, 31] == 0).all()
+    pairs = np.abs(one[:20, None].astype(float) - two[None, :30]).max(2)
+    assert (gap[:20, :30] >= pairs * (1 - 1e-4) - 1e-2).all()
+
+
+def test_a_tile_gives_the_best_of_all_its_vectors(spark):
+    """Queries without a known score look at the whole tile, in products of some rows first, then of all; many ties."""
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-2, 3, (1500, 6)) / 64
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert rows_of(pivots.top_matches(df, pivots=4, tile=4096)) == matches_by_hand(rows, 20, 20)
