@@ -5,8 +5,8 @@ document enters each band in which it can have one. In a band, two sets that fit
 at most d shingles, so if shingles are dealt by hash to more than d parts, one part is the
 same in both. (band, part, contents) names a tile; only members of a tile are compared:
 first by hashed parity bitmaps, whose differing bits bound the overlap from above, then by
-exact intersection of the sorted shingle arrays. Sketches, bitmaps folded to a quarter of
-their width, give a weaker bound; tiles are compared by them, so that passages which many
+exact intersection of the sorted shingle arrays. Sketches, bitmaps folded to half their
+width, give a weaker bound; tiles are compared by them, so that passages which many
 documents share move little, and only pairs they leave open move bitmaps and sets.
 
 The first pass compares each member of a tile with its least member, the second with the
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmart.llm.common import BoundedCache, fresh, null_safe, spread_blocks, whole_groups, worker_once
-from reelmart.llm.components import components
+from reelmart.llm.components import components, extended
 from reelmart.session import cut_lineage
 
 LEAST_BITS = 256  # of a bitmap
@@ -152,8 +152,12 @@ def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
 
 
 def sketch(bitmap: np.ndarray) -> np.ndarray:
-    """A quarter of the bitmap's width: half a bit to one per shingle, enough to tell sets apart that share little."""
-    return folded(bitmap, max(LEAST_BITS // 64, len(bitmap) // 4))
+    """Half the bitmap's width: one to two bits per shingle.
+
+    With fewer, sets that share little differ in hardly more bits than linked ones may, and a
+    part of all pairs of a tile, whose number is the square of its size, would stay possible.
+    """
+    return folded(bitmap, max(LEAST_BITS // 64, len(bitmap) // 2))
 
 
 def text_hash() -> Column:
@@ -432,8 +436,7 @@ def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
         sets.append(cut_lineage(candidate_sets(docs, wanted.join(ids, "cid"), law), "sets"))
         return cut_lineage(verified(possible, reduce(DataFrame.unionByName, sets), law), "links")
 
-    links = confirmed(spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    roots = components(links, "a", "b")
+    roots = components(confirmed(spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), "a", "b")
     rooted = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
     apart = spokes.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left")
     apart = apart.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select(F.col("a_tag").alias("first"), F.col("b_tag").alias("tag"))
@@ -450,14 +453,14 @@ def grouped_documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     around = inside.join(middle, "key").filter("root <> middle.root")
     more = confirmed(around.select(F.least("cid", "middle.cid").alias("a"), F.greatest("cid", "middle.cid").alias("b")))
     if not more.isEmpty():
-        links = cut_lineage(links.unionByName(more), "links")
-        roots = components(links, "a", "b")
+        roots = extended(roots, more, "a", "b")
 
     # What is still in several components is compared in full.
     rest = cut_lineage(cross_component_pairs(mixed_tiles(members, roots), classes, law), "rest")
     if not rest.isEmpty():
-        links = cut_lineage(links.unionByName(confirmed(rest)), "links")
-        roots = components(links, "a", "b")
+        last = confirmed(rest)
+        if not last.isEmpty():
+            roots = extended(roots, last, "a", "b")
     joined = classes.select("cid", *digests, "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
     least_id = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -31,10 +31,46 @@ def test_components(spark):
     assert {n for n, r in want.items() if r != n} <= set(got)
 
 
+def test_few_edges_and_many_give_the_same_components(spark):
+    rng = np.random.default_rng(3)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(k, k + 1) for k in range(1000, 1050)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    few, many = (sorted(map(tuple, components.components(frame, "a", "b", limit).collect())) for limit in (1000, 0))
+    assert few == many
+    edges = spark.createDataFrame([(b, a) for a, b in links if a < b], "node long, other long").coalesce(1)
+    assert "Exchange" not in components.one_round(edges, few=True)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_nothing(spark):
     assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+def test_components_after_more_links(spark):
+    rng = np.random.default_rng(1)
+    first = [(int(a), int(b)) for a, b in rng.integers(0, 400, (150, 2))]
+    more = [(int(a), int(b)) for a, b in rng.integers(0, 600, (120, 2))] + [(700, 700), (5, 5)]
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    rows = components.extended(components.components(frame(first), "a", "b"), frame(more), "a", "b").collect()
+    got = {r.node: r.root for r in rows}
+    want = components_by_hand({x for link in first + more for x in link}, first + more)
+    assert len(got) == len(rows)
+    assert got == {n: r for n, r in want.items() if n in got}
+    assert {n for n, r in want.items() if r != n} <= set(got)
+
+
+def test_pairs_of_a_tile_that_share_little_are_ruled_out():
+    # Documents of 480 shingles with a third in common: bitmaps of 1,024 bits.
+    rng = np.random.default_rng(2)
+    common = rng.integers(0, 2**64, 160, np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(0, 2**64, 320, np.uint64)])) for _ in range(300)]
+    sets[1] = np.sort(np.concatenate([sets[0][:-20], rng.integers(0, 2**64, 20, np.uint64)]))
+    ids = np.arange(300)
+    columns = {"cid": ids, "root": ids, "n_shingles": np.array([len(s) for s in sets]), "sketch": [ngrams.sketch(ngrams.parity_bitmap(s)) for s in sets]}
+    columns |= {c: np.zeros(300, np.int64) for c in ("_i", "_j", "_side")}
+    a, b = ngrams.tile_survivors(columns, 0, 300, ngrams.Law(5, 80))
+    assert list(zip(a.tolist(), b.tolist())) == [(0, 1)]
+
+
 def sets_of(rows, words):
     out = []
     for _, text in rows:
