@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.llm import language, ngrams, packing, pii, quality
-from reelmart.llm.common import table
+from reelmart.llm.common import small_batches, table
 from reelmart.session import cut_lineage
 
 
@@ -22,6 +22,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     NULL, empty and blank texts have no words and go. Repeated rows are judged alike, each on
     its own text; an empty table stays empty, columns of any name stay as they are.
     """
+    small_batches(spark)
     passes = quality.good_text(quality.fitted_lines(docs, table(spark, sf_dir, "labels")))
     return docs.filter(passes("text"))
 
@@ -32,6 +33,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Texts that are NULL or have no letter go. Repeated rows are judged alike; without rows to
     learn from every text goes; an empty table stays empty, other columns stay as they are.
     """
+    small_batches(spark)
     rejected = language.foreign_text(language.fitted_languages(docs))
     return docs.filter(~rejected("text"))
 
@@ -42,6 +44,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     The least id stays (NULL before all others); of rows alike in id and text one. Rows without
     a word, NULL texts among them, are no copies of each other and stay.
     """
+    small_batches(spark)
     return ngrams.one_of_each(docs, words=5, percent=80)
 
 
@@ -60,6 +63,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     NULL text is empty: its piece is the end token alone. Repeated ids are documents of their own.
     """
+    small_batches(spark)
     pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packing.packed(pieces.withColumn("ids_crc32", F.crc32("ids").cast("long")).drop("ids"))
 

@@ -18,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of whole texts that go to a Python worker at once. A batch is held by the JVM and by the worker, by each
+# running task, and neither gives all of it back afterwards.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand at most ``BATCH_ROWS`` rows at once to Python in what ``spark`` runs from now on; a lower setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+    return spark
+
+
 def worker_once(key: Any, build: Callable[[], Any]) -> Any:
     """``build()``, kept for the life of the Python worker process.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmart.llm.common import BoundedCache, fresh, null_safe, spread_blocks, whole_groups, worker_once
+from reelmart.llm.common import fresh, null_safe, spread_blocks, whole_groups
 from reelmart.llm.components import components, extended
 from reelmart.session import cut_lineage
 
@@ -111,19 +111,16 @@ class Law:
         return 100 * shared >= self.percent * (total - shared)
 
 
-def word_hashes() -> BoundedCache:
-    return worker_once("word hashes", lambda: BoundedCache(xxhash.xxh3_64_intdigest, 150_000))
-
-
-def shingle_set(text: str | None, words: int, known: BoundedCache) -> np.ndarray:
+def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a whole text, ASCII letters lower-cased.
 
-    Fewer than ``words`` words make one shingle of all of them; no word makes none.
+    Fewer than ``words`` words make one shingle of all of them; no word makes none. Words are
+    hashed each time: that takes half as long as to look them up, and keeps nothing in the worker.
     """
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     width = min(words, len(found))
     count = len(found) - width + 1
     whole = np.full(count, width, np.uint64)
@@ -171,11 +168,10 @@ def signatures(docs: DataFrame, law: Law) -> DataFrame:
     schema = f"doc_id {dict(source.dtypes)['doc_id']}, text_hash long, n_shingles long, digest_a long, digest_b long, bitmap array<long>, sketch array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = word_hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                sets = [shingle_set(t.as_py(), law.words, known) for t in part.column(1)]
+                sets = [shingle_set(t.as_py(), law.words) for t in part.column(1)]
                 digests, bitmaps = [digest(s) for s in sets], [parity_bitmap(s) for s in sets]
                 columns = [
                     part.column(0),
@@ -200,12 +196,12 @@ def tile_slots(docs: DataFrame, law: Law) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = word_hashes(), set()
+        seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 tags, keys = [], []
                 for text in batch.column(0).slice(at, 1000):
-                    shingles = shingle_set(text.as_py(), law.words, known)
+                    shingles = shingle_set(text.as_py(), law.words)
                     name = digest(shingles)
                     if len(shingles) and name not in seen:
                         seen.add(name)
@@ -248,11 +244,10 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, law: Law) -> DataFrame:
     source = null_safe(few, wanted, ["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = word_hashes()
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                shingles = shingle_set(row["text"], law.words, known)
+                shingles = shingle_set(row["text"], law.words)
                 if digest(shingles) == (row["digest_a"], row["digest_b"]):
                     out.append((row["cid"], shingles.tobytes()))
             columns = list(zip(*out)) or [[], []]

@@ -1,12 +1,15 @@
 """Registered queries next to their SQL, the pipeline, and the guard around the subpackage."""
 
+import tracemalloc
+
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_oracles import TABLES, as_rows
-from reelmart.llm import oracles, queries
+from reelmart.llm import common, ngrams, oracles, queries
 from reelmart.session import cut_lineage
 
 
@@ -39,3 +42,36 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert left == 0
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r.doc_id for r in last.collect()} == ids
+
+
+@pytest.mark.parametrize("name, stage", [s for s in corpus_pipeline.STAGES if s[0] != "personal_data"])
+def test_stages_hand_bounded_batches_to_python(spark, sf_dir, name, stage):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["rows"])
+
+    many = spark.range(3000, numPartitions=1)
+    docs = spark.createDataFrame([(k, f"one two three four five {k}", "en") for k in range(40)], "doc_id long, text string, lang string")
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.unset(setting)
+        stage(spark, docs, sf_dir)
+        assert max(r.rows for r in many.mapInArrow(sizes, "rows long").collect()) <= common.BATCH_ROWS
+        spark.conf.set(setting, "100")
+        assert common.small_batches(spark).conf.get(setting) == "100"
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_hashing_words_keeps_nothing_in_the_worker():
+    text = " ".join(f"word{k}" for k in range(50_000))
+    ngrams.shingle_set("a b c", 3)
+    tracemalloc.start()
+    try:
+        sets = ngrams.shingle_set(text, 3)
+        held = tracemalloc.get_traced_memory()[0] - sets.nbytes
+    finally:
+        tracemalloc.stop()
+    assert len(sets) == 49_998 and held < 200_000
