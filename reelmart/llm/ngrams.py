@@ -32,7 +32,9 @@ from reelmart.llm.components import components, extended
 from reelmart.session import cut_lineage
 
 LEAST_BITS = 256  # of a bitmap
-TILE_BLOCK = 512  # members of a large tile compared with as many others at once
+# Members of a large tile compared with as many others at once: each moves its sketch to as many tiles as there are
+# blocks, so small blocks move more than the tile holds. Two blocks of wide sketches are some tens of megabytes.
+TILE_BLOCK = 2048
 STRIP = 64  # members compared with their whole tile at once
 TAG = (1 << 48) - 1  # bits kept of names that are shuffled in numbers
 BAND_GROWTH = 1.5  # upper over lower end of a band

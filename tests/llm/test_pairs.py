@@ -5,7 +5,7 @@ import collections
 import numpy as np
 import pytest
 
-from reelmart.llm import components, embeddings, ngrams
+from reelmart.llm import common, components, embeddings, ngrams
 
 
 def components_by_hand(nodes, links):
@@ -228,3 +228,8 @@ def test_tiles_of_the_same_members_are_compared_once(spark):
     roots = spark.createDataFrame([(5, 5), (6, 5), (7, 5)], "node long, root long")
     got = ngrams.mixed_tiles(spark.createDataFrame(members, "key long, cid long"), roots).collect()
     assert sorted((r.key, r.cid, r["size"]) for r in got) == [(k, c, 3) for k, own in ((1, (1, 2, 3)), (3, (1, 2, 4))) for c in own]
+
+
+def test_sketches_of_a_tile_of_two_thousand_move_once(spark):
+    members = spark.range(2_000).selectExpr("7L AS key", "2000L AS size", "id AS cid")
+    assert common.spread_blocks(members, "key", "size", "cid", ngrams.TILE_BLOCK).count() == 2_000
