@@ -164,3 +164,47 @@ def test_a_visitor_is_one_file_in_few_folders(spark, tmp_path):
     assert len([p for p in run.rglob("*") if p.is_file()]) == 600
     assert len([p for p in run.rglob("*") if p.is_dir()]) <= 256
     assert read_landed(spark, str(tmp_path), "visitors").select("visitor_key").distinct().count() == 600
+
+
+def test_bodies_of_pages_are_made_once_and_kept_in_no_table(spark, tmp_path, monkeypatch):
+    """A Parquet copy of the pages takes thousands of them into memory at once when it is read."""
+    monkeypatch.setattr(landing_sink, "FILES_PER_TASK", 2)
+    keys = spark.createDataFrame([("a",), ("none",)], "media_id string")
+    events = media_rows(spark, {"a": 7}).withColumn("event_key", F.concat("media_id", "at"))
+    pages = paging.page_payloads(keys, events, "media_id", ["event_key"], ["at"], per_page=2)
+    monkeypatch.setattr(landing_sink, "cut_lineage", lambda *_: pytest.fail("pages were copied"))
+    land_pages(pages, str(tmp_path), "2026-01-01", "r1")
+    noted = landing_sink.read_manifest(spark, str(tmp_path), "2026-01-01", "r1", ["events"])
+    found = [("a", 1, 2, 1), ("a", 2, 2, 1), ("a", 3, 2, 1), ("a", 4, 1, 1), ("none", 1, 0, 1)]
+    assert rows(noted.select("media_id", "page", "records", "objects")) == found
+    assert read_landed(spark, str(tmp_path), "events").count() == 7
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_the_manifest_names_media_as_they_came(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(landing_sink, "local_folder", lambda *_: None)
+    documents = spark.createDataFrame([(m, "[1, 2]") for m in ODD_NAMES] + [("wide", None)], "media_id string, body string")
+    land_documents(documents, f"file://{tmp_path}", "events", "2026-01-01", "r1")
+    noted = landing_sink.read_manifest(spark, str(tmp_path), "2026-01-01", "r1", ["events"])
+    assert rows(noted.select("media_id", "page", "records", "objects")) == sorted(
+        [(m, None, 2, 1) for m in ODD_NAMES] + [("wide", None, 1, 1)], key=repr
+    )
+
+
+def test_a_landing_that_fails_leaves_the_one_before(spark, tmp_path):
+    pages = spark.createDataFrame([("m", 1, 1, '[{"event_key": "old"}]')], "media_id string, page int, records int, body string")
+    land_pages(pages, str(tmp_path), "2026-01-01", "r1")
+    broken = pages.withColumn("body", F.raise_error(F.col("media_id")).cast("string"))
+    with pytest.raises(Exception):
+        land_pages(broken, str(tmp_path), "2026-01-01", "r1")
+    assert [r["event_key"] for r in read_landed(spark, str(tmp_path), "events").collect()] == ["old"]
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
+    run = tmp_path / "events/ingestion_date=2026-01-01/run_id=r1/media_id=m"
+    run.mkdir(parents=True)
+    for page in range(1, 401):
+        (run / f"page={page:06d}.json").write_text(f'[{{"event_key": "{page}"}}]')
+    landed = read_landed(spark, str(tmp_path), "events")
+    assert landed.count() == 400 and landed.rdd.getNumPartitions() <= 6
